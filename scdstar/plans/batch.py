@@ -8,7 +8,7 @@ batch that fails before is repeated under the same id, on the same state.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -189,27 +189,36 @@ class Pipeline:
             if name not in given:
                 continue
             schema = WAREHOUSE_TABLES[name]
-            inserted = 0
             done = load_table(
                 spec, given[name], before, after, batch_id, load_ts, self.options, stage
             )
             n_changes, n_closing = done.changes.agg(F.count("*"), F.count(CLOSES)).first()
-            changed = bool(n_changes) or self.options.close_missing
-            if changed or done.kept is None:
-                rows = done.current().select(*schema.names)
-                saved = catalog.save_version(rows, namespace, name, batch_id)
+            if done.kept is None:
+                saved = catalog.save_version(
+                    done.inserted.select(*schema.names), namespace, name, batch_id
+                )
+                n_inserted = saved.count()
+                catalog.ensure_history(self.spark, namespace, name, schema)
+            else:
+                # Rows without resolvable references are new in every batch, so only
+                # the versions made from the changes tell whether to rewrite.
+                done = replace(done, inserted=stage(done.inserted, f"{name}_inserted"))
+                n_inserted = done.inserted.count()
+                saved = None
+                if n_inserted or n_closing or self.options.close_missing:
+                    saved = catalog.save_version(
+                        done.current().select(*schema.names), namespace, name, batch_id
+                    )
+                    n_closing = catalog.add_history(done.closed, namespace, name, batch_id)
+            if saved is not None:
                 after.current[name] = saved
                 versions[namespace, name] = batch_id
-                inserted = saved.where(F.col("insert_id") == batch_id).count()
-                catalog.ensure_history(self.spark, namespace, name, schema)
-            if changed and done.closed is not None:
-                n_closing = catalog.add_history(done.closed, namespace, name, batch_id)
             after.history[name] = catalog.read_history(
                 self.spark, namespace, name, schema, batch_id
             )
             report.append(
-                (batch_id, load_ts, namespace, name, versions[namespace, name], inserted,
-                 n_closing, n_changes - inserted, "ok", None)
+                (batch_id, load_ts, namespace, name, versions[namespace, name], n_inserted,
+                 n_closing, n_changes - n_inserted, "ok", None)
             )
         if reviews is not None:
             catalog.wipe_namespace(self.spark, self.names.staging)
