@@ -23,9 +23,13 @@ def strip(text: Column) -> Column:
 
 
 def int_or_zero(text: Column) -> Column:
-    """The integer a digits-only cell holds; 0 for every other cell."""
-    cell = strip(text)
-    return F.when(cell.rlike("^[0-9]+$"), cell.cast("int")).otherwise(F.lit(0))
+    """The integer a digits-only cell holds, blanks around it aside; 0 for every other cell.
+
+    One replacement leaves ``0`` followed by the digits, if any, for the cast.
+    """
+    space = f"[{WHITESPACE}]*"
+    digits = F.regexp_replace(text, f"(?s)^{space}([0-9]+){space}$|^.*$", "0$1")
+    return F.coalesce(digits, F.lit("0")).cast("int")
 
 
 def is_true(text: Column) -> Column:
@@ -47,9 +51,9 @@ def review_text(text: Column) -> Column:
 
     The result is stripped and line feeds become blanks.
     """
-    parts = F.split(text, r"\|")
-    chosen = F.when(F.size(parts) == 2, parts[1]).otherwise(text)
-    return F.translate(strip(chosen), "\n", " ")
+    one_bar = text.contains("|") & (F.substring_index(text, "|", 2) == text)
+    chosen = F.when(one_bar, F.substring_index(text, "|", -1)).otherwise(text)
+    return F.replace(strip(chosen), F.lit("\n"), F.lit(" "))
 
 
 def mean_of_nonzero(*scores: Column) -> Column:

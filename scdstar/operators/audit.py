@@ -105,9 +105,8 @@ def attendance_intervals(links: DataFrame, flights: DataFrame, ref: str) -> Data
 
 def overlaps(intervals: DataFrame) -> DataFrame:
     """Intervals that start before an earlier one of the same entity has ended."""
-    chunked = intervals.withColumn("_hour", F.date_trunc("HOUR", "start_time"))
     seen = running_max_before(
-        chunked, "entity_id", "_hour", ("start_time", "id"), "end_time", "busy_until"
+        intervals, "entity_id", "start_time", "id", "end_time", "busy_until"
     )
     return seen.where(F.col("busy_until") > F.col("start_time")).select(
         "entity_id", "id", "start_time", "busy_until"
@@ -118,9 +117,9 @@ def discontinuities(flights: DataFrame) -> DataFrame:
     """Flights that do not leave from where their airplane last arrived."""
     legs = flights.select(
         "id", "airplane_id", "departure_time", "departure_airport_id", "arrival_airport_id"
-    ).withColumn("_hour", F.date_trunc("HOUR", "departure_time"))
+    )
     seen = previous_values(
-        legs, "airplane_id", "_hour", ("departure_time", "id"),
+        legs, "airplane_id", "departure_time", "id",
         {"previous_airport_id": "arrival_airport_id"},
     )
     return seen.where(

@@ -157,12 +157,15 @@ def merge(
 
     ``versions`` gives all versions of the tables this one refers to, as they are
     after their own load in this batch. ``stage`` may materialize the changed rows,
-    which are used more than once. Pass ``current=None`` for a first load.
+    which are used more than once. Pass ``current=None`` for a first load, where all
+    rows are new.
 
     A row whose references cannot be resolved gets no version, yet still closes
     the version it differs from.
     """
-    changes = stage(detect_changes(current, source, spec, options), f"{spec.name}_changes")
+    changes = detect_changes(current, source, spec, options)
+    if current is not None:
+        changes = stage(changes, f"{spec.name}_changes")
     base = highest_key(current, spec.sk)
     if current is not None and history is not None:
         base = F.greatest(base, highest_key(history, spec.sk))

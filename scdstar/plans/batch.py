@@ -12,12 +12,12 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from scdstar.operators.scd2 import CLOSES, LoadOptions
+from scdstar.operators.scd2 import CLOSES, LoadOptions, TableSpec
 from scdstar.plans.frames import Warehouse, load_table
-from scdstar.plans.specs import REVIEWS, SPECS
-from scdstar.plans.star import build_star, refresh_star
+from scdstar.plans.specs import REVIEWS, waves
+from scdstar.plans.star import FACT_SOURCES, build_star, refresh_star
 from scdstar.schemas import CSV_STAGING, STAR, STAR_TABLES, WAREHOUSE, WAREHOUSE_TABLES, schema_of
-from scdstar.session import stage
+from scdstar.session import side_by_side
 from scdstar.sources import catalog
 
 AUDIT = schema_of(
@@ -25,13 +25,6 @@ AUDIT = schema_of(
     " inserted:long? closed:long? unresolved:long? status:string message:string?"
 )
 
-FACT_SOURCES = {
-    "fact_flight": "flights",
-    "fact_booking": "flight_bookings",
-    "fact_review": "airline_reviews",
-}
-
-
 @dataclass(frozen=True)
 class Namespaces:
     warehouse: str = WAREHOUSE
@@ -150,9 +143,10 @@ class Pipeline:
             )
         report.append((batch_id, load_ts, "batch", "all", batch_id, None, None, None, "ok", None))
         self._report(report)
-        for (namespace, table), version in versions.items():
-            if namespace in (self.names.warehouse, self.names.star):
-                catalog.drop_versions_before(self.spark, namespace, table, version)
+        for namespace in (self.names.warehouse, self.names.star):
+            catalog.drop_old_versions(
+                self.spark, namespace, {t: v for (n, t), v in versions.items() if n == namespace}
+            )
         return batch_id
 
     def warehouse(self, versions: Mapping[tuple[str, str], int], batch_id: int) -> Warehouse:
@@ -170,6 +164,9 @@ class Pipeline:
             )
         return found
 
+    def _stage(self, df: DataFrame, name: str) -> DataFrame:
+        return catalog.stage_rows(df, self.names.staging, name)
+
     def _load_warehouse(
         self,
         batch_id: int,
@@ -179,49 +176,42 @@ class Pipeline:
         versions: dict[tuple[str, str], int],
     ) -> list[tuple]:
         """Load every table that has a source, and move ``versions`` on."""
-        namespace, report = self.names.warehouse, []
+        namespace = self.names.warehouse
         before = self.warehouse(versions, batch_id - 1)
         after = Warehouse(dict(before.current), dict(before.history))
         given = dict(sources)
+        catalog.begin_staging(self.spark, self.names.staging)
         if reviews is not None:
-            given[REVIEWS.name] = catalog.stage_rows(reviews, self.names.staging, REVIEWS.name)
-        for name, spec in SPECS.items():
-            if name not in given:
-                continue
-            schema = WAREHOUSE_TABLES[name]
+            given[REVIEWS.name] = self._stage(reviews, REVIEWS.name)
+
+        def load(spec: TableSpec) -> tuple:
+            name, schema = spec.name, WAREHOUSE_TABLES[spec.name]
+            catalog.ensure_history(self.spark, namespace, name, schema)
             done = load_table(
-                spec, given[name], before, after, batch_id, load_ts, self.options, stage
+                spec, given[name], before, after, batch_id, load_ts, self.options, self._stage
             )
-            n_changes, n_closing = done.changes.agg(F.count("*"), F.count(CLOSES)).first()
-            if done.kept is None:
-                saved = catalog.save_version(
-                    done.inserted.select(*schema.names), namespace, name, batch_id
-                )
-                n_inserted = saved.count()
-                catalog.ensure_history(self.spark, namespace, name, schema)
-            else:
+            n_changes, n_closed = done.changes.agg(F.count("*"), F.count(CLOSES)).first()
+            if done.kept is not None:
                 # Rows without resolvable references are new in every batch, so only
                 # the versions made from the changes tell whether to rewrite.
-                done = replace(done, inserted=stage(done.inserted, f"{name}_inserted"))
+                done = replace(done, inserted=self._stage(done.inserted, f"{name}_inserted"))
                 n_inserted = done.inserted.count()
-                saved = None
-                if n_inserted or n_closing or self.options.close_missing:
-                    saved = catalog.save_version(
-                        done.current().select(*schema.names), namespace, name, batch_id
-                    )
-                    n_closing = catalog.add_history(done.closed, namespace, name, batch_id)
-            if saved is not None:
-                after.current[name] = saved
+            if done.kept is None or n_inserted or n_closed or self.options.close_missing:
+                rows = done.current().select(*schema.names)
+                after.current[name] = catalog.save_version(rows, namespace, name, batch_id)
                 versions[namespace, name] = batch_id
+            if done.kept is None:
+                n_inserted = after.current[name].count()
+            elif n_closed or self.options.close_missing:
+                n_closed = catalog.add_history(done.closed, namespace, name, batch_id)
             after.history[name] = catalog.read_history(
                 self.spark, namespace, name, schema, batch_id
             )
-            report.append(
-                (batch_id, load_ts, namespace, name, versions[namespace, name], n_inserted,
-                 n_closing, n_changes - n_inserted, "ok", None)
-            )
-        if reviews is not None:
-            catalog.wipe_namespace(self.spark, self.names.staging)
+            return (batch_id, load_ts, namespace, name, versions[namespace, name], n_inserted,
+                    n_closed, n_changes - n_inserted, "ok", None)
+
+        report = [row for wave in waves(given) for row in side_by_side(load, wave)]
+        catalog.wipe_namespace(self.spark, self.names.staging)
         return report
 
     def _load_star(
@@ -232,30 +222,31 @@ class Pipeline:
         loaded: list[tuple],
         initial: bool,
     ) -> list[tuple]:
-        """Build or refresh the star tables whose warehouse tables have changed."""
+        """Build or refresh the star, leaving facts whose warehouse table is unchanged."""
         changed = {row[3] for row in loaded if row[5] or row[6]}
         if not initial and not changed:
             return []
         namespace, warehouse = self.names.star, self.warehouse(versions, batch_id)
+        known = {
+            name: catalog.read_version(self.spark, namespace, name, versions[namespace, name])
+            for name in STAR_TABLES
+            if not initial
+        }
 
-        def save(df: DataFrame, name: str) -> DataFrame:
+        def save(item: tuple[str, DataFrame]) -> DataFrame:
+            name, df = item
+            if not initial and name in FACT_SOURCES and FACT_SOURCES[name] not in changed:
+                return known[name]
             versions[namespace, name] = batch_id
             return catalog.save_version(df, namespace, name, batch_id)
 
+        def keep(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+            return dict(zip(tables, side_by_side(save, tables.items()), strict=True))
+
         if initial:
-            star = build_star(self.spark, warehouse, stage=save)
-            due = ["dim_date", *FACT_SOURCES]
+            build_star(self.spark, warehouse, keep=keep)
         else:
-            known = {
-                name: catalog.read_version(
-                    self.spark, namespace, name, versions[namespace, name]
-                )
-                for name in STAR_TABLES
-            }
-            star = refresh_star(known, warehouse, since=batch_id, stage=save)
-            due = [name for name, table in FACT_SOURCES.items() if table in changed]
-        for name in due:
-            save(star[name], name)
+            refresh_star(known, warehouse, since=batch_id, keep=keep)
         return [
             (batch_id, load_ts, namespace, name, batch_id, None, None, None, "ok", None)
             for name in STAR_TABLES

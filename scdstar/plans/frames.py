@@ -1,15 +1,14 @@
-"""The warehouse as a set of frames, and one batch over all its tables."""
+"""The warehouse as a set of frames, and the load of one table into it."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
 from scdstar.operators.lineage import expired
 from scdstar.operators.scd2 import LoadOptions, Merge, TableSpec, merge, project_source
-from scdstar.schemas import WAREHOUSE_TABLES
 
 Stage = Callable[[DataFrame, str], DataFrame]
 
@@ -61,31 +60,3 @@ def load_table(
         options,
         stage,
     )
-
-
-def load_all(
-    specs: Mapping[str, TableSpec],
-    sources: Mapping[str, DataFrame],
-    before: Warehouse,
-    batch_id: int,
-    load_ts: str,
-    options: LoadOptions = LoadOptions(),
-    stage: Stage = unstaged,
-) -> tuple[Warehouse, dict[str, Merge]]:
-    """Load every table that has a source, in spec order, so that a later table sees
-    the versions an earlier one got in the same batch."""
-    after, merges = Warehouse(dict(before.current), dict(before.history)), {}
-    for name, spec in specs.items():
-        if name not in sources:
-            continue
-        done = load_table(spec, sources[name], before, after, batch_id, load_ts, options, stage)
-        columns = WAREHOUSE_TABLES[name].names
-        after.current[name] = stage(done.current().select(*columns), f"{name}_current")
-        if done.closed is not None:
-            closed = done.closed.select(*columns)
-            past = before.history.get(name)
-            after.history[name] = stage(
-                closed if past is None else past.unionByName(closed), f"{name}_history"
-            )
-        merges[name] = done
-    return after, merges

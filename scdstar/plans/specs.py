@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from scdstar.operators.lookup import Lookup
 from scdstar.operators.scd2 import TableSpec
 from scdstar.schemas import OPERATIONAL, SOURCE_CSV, SOURCE_OPERATIONAL, STAGED_REVIEWS
@@ -82,3 +84,14 @@ SPECS: dict[str, TableSpec] = {
 }
 
 REVIEWS = SPECS["airline_reviews"]
+
+
+def waves(names: Iterable[str]) -> list[list[TableSpec]]:
+    """Sets of tables that can be loaded side by side, each after those it refers to."""
+    left, found = [SPECS[n] for n in SPECS if n in set(names)], []
+    while left:
+        waiting = {spec.name for spec in left}
+        ready = [s for s in left if not waiting & {look.table for look in s.lookups}]
+        found.append(ready)
+        left = [s for s in left if s not in ready]
+    return found

@@ -7,16 +7,31 @@ still refer to; with ``mode="all"`` it holds every version.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from scdstar.functions.columns import calendar_key, weekday_name
 from scdstar.operators.rows import append_absent, delete_matching
-from scdstar.plans.frames import Stage, Warehouse, unstaged
+from scdstar.plans.frames import Warehouse
 from scdstar.schemas import CALENDAR_END, CALENDAR_START, STAR_TABLES
 
+Tables = dict[str, DataFrame]
+
+DIMENSION_SOURCES = {
+    "dim_airport": "airports",
+    "dim_airplane": "airplanes",
+    "dim_pilot": "pilots",
+    "dim_customer": "customers",
+    "dim_flight": "flights",
+}
+FACT_SOURCES = {
+    "fact_flight": "flights",
+    "fact_booking": "flight_bookings",
+    "fact_review": "airline_reviews",
+}
+
 KEYS: dict[str, str] = {
     "dim_airport": "airport_sk",
     "dim_airplane": "airplane_sk",
@@ -105,83 +120,97 @@ def fact_review(reviews: DataFrame, flights: DataFrame, customers: DataFrame) ->
     )
 
 
+def _refs(rows: DataFrame, sk: str, *columns: str) -> list[DataFrame]:
+    return [rows.select(F.col(c).alias(sk)) for c in columns]
+
+
 def _with_retained(
     warehouse: Warehouse, table: str, sk: str, references: list[DataFrame]
 ) -> DataFrame:
     """Current versions, plus the expired ones that some reference points to.
 
-    References are made distinct map-side before they are joined, so a version that
-    most facts refer to weighs no more than any other.
+    The references are first cut down to those that hit an expired version, which
+    costs no shuffle while the expired keys are few enough to be broadcast, and
+    made distinct before they are joined back.
     """
     if table not in warehouse.history:
         return warehouse.current[table]
-    referred = reduce(DataFrame.unionByName, references).distinct()
-    retained = warehouse.history[table].join(referred, sk, "left_semi")
-    return warehouse.current[table].unionByName(retained)
-
-
-def _refs(rows: DataFrame, sk: str, *columns: str) -> list[DataFrame]:
-    return [rows.select(F.col(c).alias(sk)) for c in columns]
+    past = warehouse.history[table]
+    referred = (
+        reduce(DataFrame.unionByName, references)
+        .join(past.select(sk), sk, "left_semi")
+        .distinct()
+    )
+    return warehouse.current[table].unionByName(past.join(referred, sk, "left_semi"))
 
 
-def dimension_rows(warehouse: Warehouse, mode: str = "current") -> dict[str, DataFrame]:
-    """The warehouse rows each dimension is made of, by warehouse table."""
-    tables = ("flights", "customers", "airports", "airplanes", "pilots")
-    if mode == "all":
-        return {t: warehouse.versions(t) for t in tables}
-    bookings, reviews = warehouse.current["flight_bookings"], warehouse.current["airline_reviews"]
-    rows = {
-        "flights": _with_retained(
-            warehouse, "flights", "flight_sk",
-            _refs(bookings, "flight_sk", "flight_sk") + _refs(reviews, "flight_sk", "flight_sk"),
-        ),
-        "customers": _with_retained(
-            warehouse, "customers", "customer_sk",
-            _refs(bookings, "customer_sk", "customer_sk")
-            + _refs(reviews, "customer_sk", "customer_sk"),
-        ),
-    }
-    flights = rows["flights"]
-    rows["airports"] = _with_retained(
-        warehouse, "airports", "airport_sk",
-        _refs(flights, "airport_sk", "departure_airport_sk", "arrival_airport_sk"),
-    )
-    rows["airplanes"] = _with_retained(
-        warehouse, "airplanes", "airplane_sk", _refs(flights, "airplane_sk", "airplane_sk")
-    )
-    rows["pilots"] = _with_retained(
-        warehouse, "pilots", "pilot_sk", _refs(flights, "pilot_sk", "pilot_sk", "copilot_sk")
+def _fact_references(warehouse: Warehouse, sk: str) -> list[DataFrame]:
+    return _refs(warehouse.current["flight_bookings"], sk, sk) + _refs(
+        warehouse.current["airline_reviews"], sk, sk
     )
-    return rows
 
 
-def _dimensions(rows: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+def _first_dimensions(warehouse: Warehouse, mode: str = "current") -> Tables:
+    """The dimensions that facts refer to."""
+    if mode == "all":
+        flights, customers = warehouse.versions("flights"), warehouse.versions("customers")
+    else:
+        flights = _with_retained(
+            warehouse, "flights", "flight_sk", _fact_references(warehouse, "flight_sk")
+        )
+        customers = _with_retained(
+            warehouse, "customers", "customer_sk", _fact_references(warehouse, "customer_sk")
+        )
+    return {"dim_flight": dim_flight(flights), "dim_customer": dim_customer(customers)}
+
+
+def _second_dimensions(
+    warehouse: Warehouse, flights: DataFrame, mode: str = "current"
+) -> Tables:
+    """The dimensions that the dimension ``flights`` refers to."""
+    rows = {}
+    for table, sk, columns in (
+        ("airports", "airport_sk", ("departure_airport_sk", "arrival_airport_sk")),
+        ("airplanes", "airplane_sk", ("airplane_sk",)),
+        ("pilots", "pilot_sk", ("pilot_sk", "copilot_sk")),
+    ):
+        rows[table] = (
+            warehouse.versions(table)
+            if mode == "all"
+            else _with_retained(warehouse, table, sk, _refs(flights, sk, *columns))
+        )
     return {
         "dim_airport": dim_airport(rows["airports"]),
         "dim_airplane": dim_airplane(rows["airplanes"]),
         "dim_pilot": dim_pilot(rows["pilots"]),
-        "dim_customer": dim_customer(rows["customers"]),
-        "dim_flight": dim_flight(rows["flights"]),
     }
 
 
 def build_star(
-    spark: SparkSession, warehouse: Warehouse, mode: str = "current", stage: Stage = unstaged
-) -> dict[str, DataFrame]:
-    """The whole star from the warehouse. ``stage`` may materialize the dimensions, which
-    the reviews are checked against."""
+    spark: SparkSession,
+    warehouse: Warehouse,
+    mode: str = "current",
+    keep: Callable[[Tables], Tables] = dict,
+) -> Tables:
+    """The whole star from the warehouse.
+
+    ``keep`` may materialize a set of tables that do not depend on each other.
+    """
     if mode not in ("current", "all"):
         raise ValueError(f"unknown mode {mode}")
     facts = warehouse.versions if mode == "all" else warehouse.current.__getitem__
-    dimensions = _dimensions(dimension_rows(warehouse, mode))
-    star = {name: stage(df, name) for name, df in dimensions.items()}
-    star["dim_date"] = dim_date(spark)
-    star["fact_flight"] = fact_flight(facts("flights"))
-    star["fact_booking"] = fact_booking(facts("flight_bookings"))
-    star["fact_review"] = fact_review(
-        facts("airline_reviews"), star["dim_flight"], star["dim_customer"]
+    star = keep(
+        _first_dimensions(warehouse, mode)
+        | {
+            "dim_date": dim_date(spark),
+            "fact_flight": fact_flight(facts("flights")),
+            "fact_booking": fact_booking(facts("flight_bookings")),
+        }
+    )
+    reviews = fact_review(facts("airline_reviews"), star["dim_flight"], star["dim_customer"])
+    return star | keep(
+        _second_dimensions(warehouse, star["dim_flight"], mode) | {"fact_review": reviews}
     )
-    return star
 
 
 def delete_expired(
@@ -198,44 +227,45 @@ def refresh_star(
     star: Mapping[str, DataFrame],
     warehouse: Warehouse,
     since: int | None = None,
-    stage: Stage = unstaged,
-) -> dict[str, DataFrame]:
+    keep: Callable[[Tables], Tables] = dict,
+) -> Tables:
     """Bring a star up to date: expired rows out, missing current rows in.
 
-    Give ``since``, the first batch the star has not seen, to touch only versions
-    that were closed or inserted from then on. The calendar stays as it is.
+    Give ``since``, the first batch the star has not seen, if it is known. Facts
+    then take in just the versions closed and inserted from that batch on, without
+    comparing them with the star, and dimensions, whose rows never change under
+    their key, are projected anew. The calendar stays as it is.
     """
-    rows = dimension_rows(warehouse)
-    target = _dimensions(rows)
-    tables = {"dim_airport": "airports", "dim_airplane": "airplanes", "dim_pilot": "pilots",
-              "dim_customer": "customers", "dim_flight": "flights"}
-    fresh = {}
-    for name, table in tables.items():
-        survivors = delete_expired(
-            star[name], warehouse.expired(table), KEYS[name], target[name]
-        )
-        fresh[name] = stage(append_absent(survivors, target[name], KEYS[name]), name)
 
-    def changed(table: str) -> tuple[DataFrame, DataFrame]:
-        out, new = warehouse.expired(table), warehouse.current[table]
+    def dimension(name: str, target: DataFrame) -> DataFrame:
         if since is not None:
-            out, new = out.where(F.col("update_id") >= since), new.where(
-                F.col("insert_id") >= since
+            return target
+        expired_rows = warehouse.expired(DIMENSION_SOURCES[name])
+        survivors = delete_expired(star[name], expired_rows, KEYS[name], target)
+        return append_absent(survivors, target, KEYS[name])
+
+    def fact(name: str, project: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        table = FACT_SOURCES[name]
+        out, new = warehouse.expired(table), warehouse.current[table]
+        if since is None:
+            return append_absent(
+                delete_expired(star[name], out, KEYS[name]), project(new), KEYS[name]
             )
-        return out, new
-
-    facts = {
-        "fact_flight": ("flights", fact_flight),
-        "fact_booking": ("flight_bookings", fact_booking),
-        "fact_review": (
-            "airline_reviews",
-            lambda new: fact_review(new, fresh["dim_flight"], fresh["dim_customer"]),
-        ),
+        out = out.where(F.col("update_id") >= since)
+        new = new.where(F.col("insert_id") >= since)
+        return delete_expired(star[name], out, KEYS[name]).unionByName(project(new))
+
+    first = {n: dimension(n, df) for n, df in _first_dimensions(warehouse).items()}
+    fresh = keep(
+        first
+        | {
+            "fact_flight": fact("fact_flight", fact_flight),
+            "fact_booking": fact("fact_booking", fact_booking),
+        }
+    )
+    flights, customers = fresh["dim_flight"], fresh["dim_customer"]
+    second = {
+        n: dimension(n, df) for n, df in _second_dimensions(warehouse, flights).items()
     }
-    for name, (table, project) in facts.items():
-        out, new = changed(table)
-        fresh[name] = append_absent(
-            delete_matching(star[name], out, KEYS[name]), project(new), KEYS[name]
-        )
-    fresh["dim_date"] = star["dim_date"]
-    return fresh
+    reviews = fact("fact_review", lambda new: fact_review(new, flights, customers))
+    return fresh | keep(second | {"fact_review": reviews}) | {"dim_date": star["dim_date"]}

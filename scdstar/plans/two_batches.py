@@ -77,8 +77,9 @@ class TwoBatches:
         """The star after a batch, dimensions kept as written tables."""
         if batch not in self._stars:
             self._stars[batch] = build_star(
-                self.spark, self.warehouse(batch),
-                stage=lambda df, name: stage(df, f"{name}_{batch}"),
+                self.spark,
+                self.warehouse(batch),
+                keep=lambda tables: {n: stage(df, f"{n}_{batch}") for n, df in tables.items()},
             )
         return self._stars[batch]
 

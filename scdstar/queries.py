@@ -22,6 +22,7 @@ from scdstar.plans.specs import SPECS
 from scdstar.plans.star import KEYS, build_star, delete_expired, refresh_star
 from scdstar.plans.two_batches import two_batches
 from scdstar.schemas import WAREHOUSE_TABLES
+from scdstar.session import stage
 from scdstar.sources.reviews import cleanse_reviews
 from scdstar.sources.testdata import LOAD_TS, raw_reviews, snapshot_table
 
@@ -355,20 +356,19 @@ def audit_pilot_conflict(spark: SparkSession, folder: str) -> DataFrame:
     return audit.overlaps(audit.pilot_intervals(_flights(spark, folder)))
 
 
-@query
-def audit_crew_conflict(spark: SparkSession, folder: str) -> DataFrame:
-    crew = snapshot_table(spark, folder, "flight_cabin_crew", 2)
-    return audit.overlaps(
-        audit.attendance_intervals(crew, _flights(spark, folder), "cabin_crew_id")
-    )
+def _attendance_conflicts(links: str, ref: str) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        """The joined intervals are looked at more than once, so they are staged."""
+        attended = audit.attendance_intervals(
+            snapshot_table(spark, folder, links, 2), _flights(spark, folder), ref
+        )
+        return audit.overlaps(stage(attended, f"{links}_intervals"))
 
+    return run
 
-@query
-def audit_passenger_conflict(spark: SparkSession, folder: str) -> DataFrame:
-    bookings = snapshot_table(spark, folder, "flight_bookings", 2)
-    return audit.overlaps(
-        audit.attendance_intervals(bookings, _flights(spark, folder), "customer_id")
-    )
+
+QUERIES["audit_crew_conflict"] = _attendance_conflicts("flight_cabin_crew", "cabin_crew_id")
+QUERIES["audit_passenger_conflict"] = _attendance_conflicts("flight_bookings", "customer_id")
 
 
 @query

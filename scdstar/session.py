@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+Item = TypeVar("Item")
+Result = TypeVar("Result")
+
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -54,3 +60,10 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     )
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def side_by_side(run: Callable[[Item], Result], items: Iterable[Item]) -> list[Result]:
+    """Submit independent Spark jobs at the same time, so that small tables fill the
+    executors a large one leaves idle. Results come in the order of the items."""
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        return list(pool.map(run, items))

@@ -15,14 +15,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from scdstar.operators.lineage import stamp_inserted
 
 
+def _columns(schema: T.StructType) -> str:
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
+
+
 def ensure_namespace(
     spark: SparkSession, namespace: str, tables: Mapping[str, T.StructType]
 ) -> None:
     """Create the namespace and its missing tables, empty."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {namespace}")
     for name, schema in tables.items():
-        if not spark.catalog.tableExists(f"{namespace}.{name}"):
-            spark.createDataFrame([], schema).write.saveAsTable(f"{namespace}.{name}")
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {namespace}.{name} ({_columns(schema)}) USING parquet"
+        )
 
 
 def ensure_versioned(
@@ -30,10 +35,11 @@ def ensure_versioned(
 ) -> None:
     """Create the namespace and, for each missing logical table, an empty first version."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {namespace}")
-    for name, schema in tables.items():
-        if not spark.catalog.tableExists(f"{namespace}.{name}"):
-            save_version(spark.createDataFrame([], schema), namespace, name, 0)
-            publish(spark, namespace, name, f"SELECT * FROM {namespace}.{name}__v0")
+    missing = {n: s for n, s in tables.items()
+               if not spark.catalog.tableExists(f"{namespace}.{n}")}
+    ensure_namespace(spark, namespace, {f"{n}__v0": s for n, s in missing.items()})
+    for name in missing:
+        publish(spark, namespace, name, f"SELECT * FROM {namespace}.{name}__v0")
 
 
 def wipe_namespace(spark: SparkSession, namespace: str) -> None:
@@ -69,16 +75,19 @@ def insert_select(
     append_by_name(stamp_inserted(df, insert_id, source_id, load_ts), table)
 
 
+def begin_staging(spark: SparkSession, namespace: str) -> None:
+    """Start a staging cycle, dropping what an earlier one left."""
+    wipe_namespace(spark, namespace)
+    spark.sql(f"CREATE DATABASE {namespace}")
+
+
 def stage_rows(df: DataFrame, namespace: str, table: str) -> DataFrame:
-    """Start a staging cycle: drop what an earlier one left, write, read back.
+    """Write rows to a staging table and read them back.
 
     Writing all columns also forces every cell to be parsed.
     """
-    spark = df.sparkSession
-    wipe_namespace(spark, namespace)
-    spark.sql(f"CREATE DATABASE {namespace}")
     df.write.saveAsTable(f"{namespace}.{table}")
-    return spark.table(f"{namespace}.{table}")
+    return df.sparkSession.table(f"{namespace}.{table}")
 
 
 def save_version(df: DataFrame, namespace: str, table: str, version: int) -> DataFrame:
@@ -92,23 +101,22 @@ def read_version(spark: SparkSession, namespace: str, table: str, version: int)
     return spark.table(f"{namespace}.{table}__v{version}")
 
 
-def drop_versions_before(
-    spark: SparkSession, namespace: str, table: str, version: int
+def drop_old_versions(
+    spark: SparkSession, namespace: str, versions: Mapping[str, int]
 ) -> None:
-    prefix = f"{table}__v"
-    for found in spark.catalog.listTables(namespace, f"{prefix}*"):
-        suffix = found.name.removeprefix(prefix)
-        if suffix.isdigit() and int(suffix) < version:
-            spark.sql(f"DROP TABLE IF EXISTS {namespace}.{found.name}")
+    """Drop the physical versions older than the given one of each table."""
+    for found in spark.sql(f"SHOW TABLES IN {namespace}").collect():
+        table, _, version = found.tableName.rpartition("__v")
+        if table in versions and version.isdigit() and int(version) < versions[table]:
+            spark.sql(f"DROP TABLE IF EXISTS {namespace}.{found.tableName}")
 
 
 def ensure_history(
     spark: SparkSession, namespace: str, table: str, schema: T.StructType
 ) -> None:
     """Create the table that collects closed versions, if missing."""
-    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {namespace}.{table}__history ({columns})"
+        f"CREATE TABLE IF NOT EXISTS {namespace}.{table}__history ({_columns(schema)})"
         " USING parquet PARTITIONED BY (update_id)"
     )
 

@@ -59,7 +59,7 @@ def cleanse_reviews(raw: DataFrame) -> DataFrame:
         .where(dated.isNotNull())
         .select(
             *passed,
-            review_text(strip(F.coalesce("text_content", F.lit("")))).alias("content"),
+            review_text(F.coalesce("text_content", F.lit(""))).alias("content"),
             strip(F.col("seat_type")).alias("seat_type"),
             is_true(strip(F.col("recommended"))).alias("recommended"),
             dated.alias("source_date"),
@@ -106,7 +106,7 @@ def write_reviews(reviews: DataFrame, path: str, rows_per_file: int = 1_000_000)
     """Write cleansed reviews as CSV files with a header each."""
     text = reviews.select(*STAGED_REVIEWS.names).withColumns(
         {
-            "content": F.translate("content", "\n", " "),
+            "content": F.replace("content", F.lit("\n"), F.lit(" ")),
             "recommended": F.when(F.col("recommended"), "True").otherwise("False"),
             "date_published": F.date_format("date_published", TIMESTAMP_FORMAT),
         }
