@@ -80,12 +80,9 @@ class Pipeline:
     ) -> int:
         """Empty warehouse and star and load them in full: the warehouse first."""
         batch_id = self.next_batch_id()
-        for name, tables in (
-            (self.names.warehouse, WAREHOUSE_TABLES),
-            (self.names.star, STAR_TABLES),
-        ):
-            catalog.reset_namespace(self.spark, name, tables)
         self._report([(batch_id, load_ts, "batch", "all", 0, None, None, None, "reset", None)])
+        catalog.reset_namespace(self.spark, self.names.warehouse, WAREHOUSE_TABLES)
+        catalog.reset_namespace(self.spark, self.names.star, STAR_TABLES)
         return self._run(batch_id, sources, reviews, load_ts, initial=True)
 
     def run_batch(

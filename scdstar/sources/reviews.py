@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from scdstar.functions.columns import (
     int_or_zero,
@@ -25,9 +25,6 @@ RATED = (
 )
 SCORES = ("seat_comfort", *RATED)
 
-# Fixed value: the timestamp format of the cleansed file.
-TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
-
 STAGED_TEXT = T.StructType([T.StructField(n, T.StringType()) for n in STAGED_REVIEWS.names])
 
 
@@ -102,13 +99,20 @@ def read_staged_reviews(spark: SparkSession, path: str, multiline: bool = True)
     return parse_staged_text(reader.csv(path))
 
 
+def _with_micros(ts: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss.ffffff``, the timestamp format of the cleansed file."""
+    text = ts.cast("string")
+    dotted = F.when(text.contains("."), text).otherwise(F.concat(text, F.lit(".")))
+    return F.rpad(dotted, 26, "0")
+
+
 def write_reviews(reviews: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
     """Write cleansed reviews as CSV files with a header each."""
     text = reviews.select(*STAGED_REVIEWS.names).withColumns(
         {
             "content": F.replace("content", F.lit("\n"), F.lit(" ")),
             "recommended": F.when(F.col("recommended"), "True").otherwise("False"),
-            "date_published": F.date_format("date_published", TIMESTAMP_FORMAT),
+            "date_published": _with_micros(F.col("date_published")),
         }
     )
     (

@@ -57,6 +57,8 @@ def test_staged_reviews_round_trip(spark, tmp_path):
     write_reviews(reviews, out)
     assert rows(read_staged_reviews(spark, out)) == rows(reviews)
     assert rows(read_staged_reviews(spark, out, multiline=False)) == rows(reviews)
+    stamps = spark.read.csv(out, header=True, escape='"').select("date_published")
+    assert rows(stamps) == [("2024-01-02 03:04:05.000000",), ("2024-01-02 03:04:05.000006",)]
 
 
 @pytest.mark.parametrize("bad", [
