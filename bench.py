@@ -52,7 +52,8 @@ def main() -> None:
 
     loads = two_batches(spark, folder)
     loads.warehouse(1), loads.warehouse(2), loads.star(1), loads.star(2)
-    chosen = sys.argv[1:] or list(QUERIES)
+    # What the batch queries read is loaded by the pipeline timed above.
+    chosen = sys.argv[1:] or [name for name in QUERIES if not name.startswith("batch_")]
     for name in chosen:
         times[name] = timed(
             lambda: QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()

@@ -141,6 +141,40 @@ def _all_keys(prefix: str) -> str:
 add("star_refresh", _all_keys("star_"))
 add("star_all_versions", _all_keys("starall_"))
 
+# CSV files hold no NULL texts: what was NULL comes back empty.
+add("review_csv_round_trip",
+    "SELECT * REPLACE (coalesce(content, '') AS content) FROM source2_airline_reviews")
+_STREAMED = {
+    "streamed_source": "SELECT * REPLACE (coalesce(content, '') AS content)"
+                       " FROM source2_airline_reviews",
+    "streamed_changes": changes("airline_reviews").replace(
+        "source2_airline_reviews", "streamed_source"),
+    "streamed_reviews": merged("airline_reviews", "streamed_changes"),
+}
+add("batch_flights", "SELECT * FROM wh2_flights")
+add("batch_reviews_streamed", "SELECT * FROM streamed_reviews", _STREAMED)
+add("batch_star", _all_keys("star_").replace("star_fact_review", "streamed_fact"), {
+    **_STREAMED,
+    **{f"star_{t}": CTES[f"star_{t}"].replace("wh2_airline_reviews", "streamed_reviews")
+       for t in ("dim_flight", "dim_customer")},
+    "streamed_fact": CTES["star_fact_review"].replace("wh2_airline_reviews", "streamed_reviews"),
+})
+
+
+def _reported(batch: int, table: str, versions: str, changed: str) -> str:
+    return f"""
+SELECT {batch}::INTEGER AS batch_id, '{table}' AS table_name, inserted, closed,
+       n_changed - inserted AS unresolved, 'ok' AS status
+FROM (SELECT (SELECT count(*) FROM {versions} WHERE insert_id = {batch}) AS inserted,
+             (SELECT count(*) FROM {versions} WHERE update_id = {batch}) AS closed,
+             (SELECT count(*) FROM {changed}) AS n_changed)"""
+
+
+add("batch_report", " UNION ALL ".join(
+    [_reported(1, t, f"wh1_{t}", f"source1_{t}") for t in TABLES]
+    + [_reported(2, t, f"wh2_{t}", f"changes_{t}") for t in TABLES if t != "airline_reviews"]
+    + [_reported(2, "airline_reviews", "streamed_reviews", "streamed_changes")]), _STREAMED)
+
 _COLUMNS = ["id", "flight_number", "departure_airport_id", "arrival_airport_id", "departure_time",
             "arrival_time", "delay_minutes", "status", "pilot_id", "copilot_id", "airplane_id",
             "is_ferry_flight", "estimated_flight_hours"]

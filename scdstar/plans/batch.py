@@ -35,11 +35,16 @@ class Namespaces:
 
 @dataclass
 class Pipeline:
-    """Loads warehouse and star batch by batch."""
+    """Loads warehouse and star batch by batch.
+
+    Tables are kept under ``root``, a folder all executors reach, or by default
+    where the catalog keeps its tables.
+    """
 
     spark: SparkSession
     names: Namespaces = field(default_factory=Namespaces)
     options: LoadOptions = LoadOptions()
+    root: str | None = None
 
     # -- batch control ---------------------------------------------------------
 
@@ -49,7 +54,9 @@ class Pipeline:
 
     def audit(self) -> DataFrame:
         """The load report: one row per batch and table."""
-        catalog.ensure_namespace(self.spark, self.names.control, {"load_audit": AUDIT})
+        catalog.ensure_namespace(
+            self.spark, self.names.control, {"load_audit": AUDIT}, self.root
+        )
         return self.spark.table(self._audit_table)
 
     def _report(self, rows: list[tuple]) -> None:
@@ -81,8 +88,10 @@ class Pipeline:
         """Empty warehouse and star and load them in full: the warehouse first."""
         batch_id = self.next_batch_id()
         self._report([(batch_id, load_ts, "batch", "all", 0, None, None, None, "reset", None)])
-        catalog.reset_namespace(self.spark, self.names.warehouse, WAREHOUSE_TABLES)
-        catalog.reset_namespace(self.spark, self.names.star, STAR_TABLES)
+        catalog.reset_namespace(
+            self.spark, self.names.warehouse, WAREHOUSE_TABLES, self.root
+        )
+        catalog.reset_namespace(self.spark, self.names.star, STAR_TABLES, self.root)
         return self._run(batch_id, sources, reviews, load_ts, initial=True)
 
     def run_batch(
@@ -177,7 +186,7 @@ class Pipeline:
         before = self.warehouse(versions, batch_id - 1)
         after = Warehouse(dict(before.current), dict(before.history))
         given = dict(sources)
-        catalog.begin_staging(self.spark, self.names.staging)
+        catalog.begin_staging(self.spark, self.names.staging, self.root)
         if reviews is not None:
             given[REVIEWS.name] = self._stage(reviews, REVIEWS.name)
 

@@ -7,15 +7,20 @@ shared folder.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from scdstar.operators.scd2 import LoadOptions, Merge
+from scdstar.plans.batch import Namespaces, Pipeline
 from scdstar.plans.frames import Warehouse, load_table
 from scdstar.plans.specs import SPECS
 from scdstar.plans.star import build_star
 from scdstar.schemas import WAREHOUSE_TABLES
-from scdstar.session import stage
-from scdstar.sources.testdata import LOAD_TS, snapshot_table
+from scdstar.session import shared_folder, stage
+from scdstar.sources.reviews import write_reviews
+from scdstar.sources.testdata import LOAD_TS, snapshot, snapshot_table
+from scdstar.streaming.reviews import stream_reviews
 
 _SESSIONS: dict[tuple[str, str], TwoBatches] = {}
 
@@ -28,6 +33,7 @@ class TwoBatches:
         self._loaded: dict[int, Warehouse] = {1: Warehouse(), 2: Warehouse()}
         self._merges: dict[tuple[str, int], Merge] = {}
         self._stars: dict[int, dict[str, DataFrame]] = {}
+        self._pipeline: Pipeline | None = None
 
     def source(self, table: str, batch: int) -> DataFrame:
         return snapshot_table(self.spark, self.folder, table, batch)
@@ -83,6 +89,35 @@ class TwoBatches:
             )
         return self._stars[batch]
 
+    def pipeline(self) -> Pipeline:
+        """A pipeline that has loaded batch 1 in full and batch 2 from a review stream.
+
+        The reviews of batch 2 are written as CSV files and picked up by the stream,
+        which loads the operational tables of batch 2 along with them.
+        """
+        if self._pipeline is None:
+            name = f"scdstar_{uuid.uuid4().hex[:12]}"
+            root = f"{shared_folder(self.spark)}/{name}"
+            runner = Pipeline(
+                self.spark,
+                Namespaces(f"{name}_warehouse", f"{name}_star", f"{name}_staging",
+                           f"{name}_control"),
+                root=root,
+            )
+            runner.run_initial(*snapshot(self.spark, self.folder, 1), LOAD_TS[1])
+            tables, reviews = snapshot(self.spark, self.folder, 2)
+            write_reviews(reviews, f"{root}/reviews")
+            stream_reviews(
+                runner,
+                f"{root}/reviews",
+                operational=lambda: tables,
+                checkpoint=f"{root}/stream",
+                every=None,
+                clock=lambda: LOAD_TS[2],
+            ).awaitTermination()
+            self._pipeline = runner
+        return self._pipeline
+
 
 def two_batches(spark: SparkSession, folder: str) -> TwoBatches:
     """The loads of ``folder``, shared by the queries of one session."""
@@ -90,9 +125,3 @@ def two_batches(spark: SparkSession, folder: str) -> TwoBatches:
     if key not in _SESSIONS:
         _SESSIONS[key] = TwoBatches(spark, folder)
     return _SESSIONS[key]
-
-
-def forget(spark: SparkSession) -> None:
-    """Make later queries load afresh (for timing)."""
-    for key in [k for k in _SESSIONS if k[0] == spark.sparkContext.applicationId]:
-        del _SESSIONS[key]

@@ -5,6 +5,7 @@ Results hold no raw end dates (``is_current`` instead); an open ``update_id`` is
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable
 from functools import reduce
 
@@ -22,8 +23,8 @@ from scdstar.plans.specs import SPECS
 from scdstar.plans.star import KEYS, build_star, delete_expired, refresh_star
 from scdstar.plans.two_batches import two_batches
 from scdstar.schemas import WAREHOUSE_TABLES
-from scdstar.session import stage
-from scdstar.sources.reviews import cleanse_reviews
+from scdstar.session import shared_folder, stage
+from scdstar.sources.reviews import cleanse_reviews, read_staged_reviews, write_reviews
 from scdstar.sources.testdata import LOAD_TS, raw_reviews, snapshot_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,6 +102,14 @@ def review_cleanse(spark: SparkSession, folder: str) -> DataFrame:
     ).withColumn("source_date", F.date_format("source_date", "yyyy-MM-dd"))
 
 
+@query
+def review_csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """The reviews of batch 2 after being written to and read from CSV files."""
+    path = f"{shared_folder(spark)}/scdstar/{uuid.uuid4().hex}/reviews"
+    write_reviews(snapshot_table(spark, folder, "airline_reviews", 2), path)
+    return read_staged_reviews(spark, path)
+
+
 # -- key resolution ----------------------------------------------------------------
 
 
@@ -299,6 +308,39 @@ def star_all_versions(spark: SparkSession, folder: str) -> DataFrame:
     return keys_of((name, star[name]) for name in KEYS)
 
 
+# -- batches -----------------------------------------------------------------------
+
+
+def _published(table: str) -> Query:
+    """A warehouse table as the batches published it."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        runner = two_batches(spark, folder).pipeline()
+        return shown(spark.table(f"{runner.names.warehouse}.{table}"))
+
+    return run
+
+
+QUERIES["batch_flights"] = _published("flights")
+QUERIES["batch_reviews_streamed"] = _published("airline_reviews")
+
+
+@query
+def batch_star(spark: SparkSession, folder: str) -> DataFrame:
+    """Every row of the star tables as the batches published them."""
+    runner = two_batches(spark, folder).pipeline()
+    return keys_of((name, spark.table(f"{runner.names.star}.{name}")) for name in KEYS)
+
+
+@query
+def batch_report(spark: SparkSession, folder: str) -> DataFrame:
+    """What the batches reported about the warehouse tables."""
+    runner = two_batches(spark, folder).pipeline()
+    return runner.audit().where(F.col("namespace") == runner.names.warehouse).select(
+        "batch_id", "table_name", "inserted", "closed", "unresolved", "status"
+    )
+
+
 # -- audits ------------------------------------------------------------------------
 
 

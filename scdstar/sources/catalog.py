@@ -19,11 +19,21 @@ def _columns(schema: T.StructType) -> str:
     return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
 
 
+def create_namespace(spark: SparkSession, namespace: str, root: str | None = None) -> None:
+    """Create the namespace if missing, under ``root`` if given, else where the
+    catalog puts it."""
+    location = f" LOCATION '{root}/{namespace}'" if root else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {namespace}{location}")
+
+
 def ensure_namespace(
-    spark: SparkSession, namespace: str, tables: Mapping[str, T.StructType]
+    spark: SparkSession,
+    namespace: str,
+    tables: Mapping[str, T.StructType],
+    root: str | None = None,
 ) -> None:
     """Create the namespace and its missing tables, empty."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {namespace}")
+    create_namespace(spark, namespace, root)
     for name, schema in tables.items():
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {namespace}.{name} ({_columns(schema)}) USING parquet"
@@ -31,10 +41,13 @@ def ensure_namespace(
 
 
 def ensure_versioned(
-    spark: SparkSession, namespace: str, tables: Mapping[str, T.StructType]
+    spark: SparkSession,
+    namespace: str,
+    tables: Mapping[str, T.StructType],
+    root: str | None = None,
 ) -> None:
     """Create the namespace and, for each missing logical table, an empty first version."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {namespace}")
+    create_namespace(spark, namespace, root)
     missing = {n: s for n, s in tables.items()
                if not spark.catalog.tableExists(f"{namespace}.{n}")}
     ensure_namespace(spark, namespace, {f"{n}__v0": s for n, s in missing.items()})
@@ -48,11 +61,14 @@ def wipe_namespace(spark: SparkSession, namespace: str) -> None:
 
 
 def reset_namespace(
-    spark: SparkSession, namespace: str, tables: Mapping[str, T.StructType]
+    spark: SparkSession,
+    namespace: str,
+    tables: Mapping[str, T.StructType],
+    root: str | None = None,
 ) -> None:
     """Drop the namespace and create it anew with empty versioned tables."""
     wipe_namespace(spark, namespace)
-    ensure_versioned(spark, namespace, tables)
+    ensure_versioned(spark, namespace, tables, root)
 
 
 def truncate_namespace(spark: SparkSession, namespace: str) -> None:
@@ -75,10 +91,10 @@ def insert_select(
     append_by_name(stamp_inserted(df, insert_id, source_id, load_ts), table)
 
 
-def begin_staging(spark: SparkSession, namespace: str) -> None:
+def begin_staging(spark: SparkSession, namespace: str, root: str | None = None) -> None:
     """Start a staging cycle, dropping what an earlier one left."""
     wipe_namespace(spark, namespace)
-    spark.sql(f"CREATE DATABASE {namespace}")
+    create_namespace(spark, namespace, root)
 
 
 def stage_rows(df: DataFrame, namespace: str, table: str) -> DataFrame:

@@ -128,3 +128,12 @@ def test_row_operators(spark):
     assert rows(insert_absent(table, new, "k")) == [(1, "a"), (2, "b"), (3, "d")]
     assert rows(append_absent(table, new.where("v <> 'd'"), "k")) == [
         (1, "a"), (2, "b"), (3, "c")]
+
+
+def test_documented_schedule_conflicts(spark):
+    """The counts FIXTURES.md gives for batch 1: departures less than 5 hours apart."""
+    from scdstar.sources.testdata import snapshot_table
+
+    for folder, expected in (("/root/testdata/sf0.001", 0), ("/root/testdata/sf0.01", 74)):
+        f = snapshot_table(spark, folder, "flights", 1)
+        assert audit.overlaps(audit.airplane_intervals(f)).count() == expected
