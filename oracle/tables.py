@@ -63,7 +63,8 @@ FROM lineitem"""
 CTES["source1_airline_reviews"] = """
 SELECT event_id % 1500 AS flight_id, user_id AS customer_id, event_type AS seat_class,
        props AS content, value AS rating, value > 100 AS recommended,
-       (event_id % 6)::INTEGER AS seat_comfort, ((event_id + 1) % 6)::INTEGER AS cabin_staff_service,
+       (event_id % 6)::INTEGER AS seat_comfort, ((event_id + 1) % 6)::INTEGER
+         AS cabin_staff_service,
        ((event_id + 2) % 6)::INTEGER AS food_and_beverages,
        ((event_id + 3) % 6)::INTEGER AS inflight_entertainment,
        ((event_id + 4) % 6)::INTEGER AS value_for_money, ts AS date_published

@@ -131,9 +131,10 @@ class Pipeline:
         stream_epoch: tuple[str, int] | None = None,
     ) -> int:
         try:
-            versions = {} if initial else self._state()
-            if not initial and not versions:
+            previous = {} if initial else self._state()
+            if not initial and not previous:
                 raise RuntimeError("no initial load yet")
+            versions = dict(previous)
             report = self._load_warehouse(batch_id, sources, reviews, load_ts, versions)
             report += self._load_star(batch_id, load_ts, versions, report, initial)
             self._publish(batch_id, versions)
@@ -149,9 +150,10 @@ class Pipeline:
             )
         report.append((batch_id, load_ts, "batch", "all", batch_id, None, None, None, "ok", None))
         self._report(report)
+        # Queries may still be reading what this batch has replaced.
         for namespace in (self.names.warehouse, self.names.star):
             catalog.drop_old_versions(
-                self.spark, namespace, {t: v for (n, t), v in versions.items() if n == namespace}
+                self.spark, namespace, {t: v for (n, t), v in previous.items() if n == namespace}
             )
         return batch_id
 

@@ -140,12 +140,13 @@ def ensure_history(
 def add_history(df: DataFrame, namespace: str, table: str, batch_id: int) -> int:
     """Append the versions a batch closed, replacing those of a failed attempt.
 
-    Returns their number, counted in the new partition.
+    They come few from every part of the table, so they are gathered into files of
+    a reasonable size. Returns their number, counted in the new partition.
     """
     target = f"{namespace}.{table}__history"
     spark = df.sparkSession
     spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION (update_id = {batch_id})")
-    append_by_name(df, target)
+    append_by_name(df.hint("rebalance"), target)
     return spark.table(target).where(F.col("update_id") == batch_id).count()
 
 

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scdstar.operators.scd2 import TableSpec, project_source
-from scdstar.schemas import OPERATIONAL
+from scdstar.schemas import AIRLINE, OPERATIONAL
 
 
 def read_parquet(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -16,7 +15,7 @@ def read_parquet(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     }
 
 
-def read_catalog(spark: SparkSession, namespace: str) -> dict[str, DataFrame]:
+def read_catalog(spark: SparkSession, namespace: str = AIRLINE) -> dict[str, DataFrame]:
     """All operational tables from a catalog namespace."""
     return {
         name: spark.table(f"{namespace}.{name}").select(*schema.names)
@@ -44,8 +43,3 @@ def read_jdbc(
         numPartitions=partitions,
         properties=properties,
     ).select(*OPERATIONAL[table].names)
-
-
-def project(tables: dict[str, DataFrame], spec: TableSpec) -> DataFrame:
-    """A source table with its natural key renamed, as the loads expect it."""
-    return project_source(tables[spec.name], spec)

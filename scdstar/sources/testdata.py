@@ -238,12 +238,8 @@ def raw_reviews(spark: SparkSession, folder: str) -> DataFrame:
 
     def score(k: int) -> Column:
         digit = ((event + k) % 6).cast("string")
-        return (
-            F.when((event + k) % 4 == 0, "")
-            .when((event + k) % 4 == 1, "4.0")
-            .when((event + k) % 4 == 2, F.concat(F.lit(" "), digit, F.lit(" ")))
-            .otherwise(digit)
-        )
+        shapes = F.lit(""), F.lit("4.0"), F.concat(F.lit(" "), digit, F.lit(" ")), digit
+        return F.elt(((event + k) % 4 + 1).cast("int"), *shapes)
 
     return events.join(documents, event == F.col("doc_id"), "left").select(
         event,

@@ -60,6 +60,12 @@ def test_tables_equal_the_two_batches(spark, pipeline, small):
         assert rows(spark.table(f"t_star.{name}")) == rows(star[name]), name
 
 
+def test_one_earlier_version_is_kept(spark, pipeline):
+    found = {r.tableName for r in spark.sql("SHOW TABLES IN t_warehouse").collect()}
+    assert {"customers__v1", "customers__v2", "pilots__v1"} <= found
+    assert not {"customers__v0", "pilots__v2"} & found
+
+
 def test_load_report(pipeline):
     report = pipeline.audit()
     ok = report.where("status = 'ok' AND namespace = 't_warehouse' AND batch_id = 2")
