@@ -8,16 +8,17 @@ shared folder.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from scdstar.operators.scd2 import LoadOptions, Merge
 from scdstar.plans.batch import Namespaces, Pipeline
 from scdstar.plans.frames import Warehouse, load_table
-from scdstar.plans.specs import SPECS
+from scdstar.plans.specs import SPECS, waves
 from scdstar.plans.star import build_star
 from scdstar.schemas import WAREHOUSE_TABLES
-from scdstar.session import shared_folder, stage
+from scdstar.session import shared_folder, side_by_side, stage
 from scdstar.sources.reviews import write_reviews
 from scdstar.sources.testdata import LOAD_TS, snapshot, snapshot_table
 from scdstar.streaming.reviews import stream_reviews
@@ -25,6 +26,14 @@ from scdstar.streaming.reviews import stream_reviews
 _SESSIONS: dict[tuple[str, str], TwoBatches] = {}
 
 
+def _with_references(tables: Iterable[str]) -> set[str]:
+    """The tables and all they refer to, directly or not."""
+    found = set(tables)
+    while more := {look.table for t in found for look in SPECS[t].lookups} - found:
+        found |= more
+    return found
+
+
 class TwoBatches:
     """Source snapshots, warehouse and star of one folder of test tables."""
 
@@ -40,10 +49,14 @@ class TwoBatches:
 
     def merge(self, table: str, batch: int, options: LoadOptions = LoadOptions()) -> Merge:
         """The load of one table in one batch, after the tables it refers to."""
-        for look in SPECS[table].lookups:
-            self.load(look.table, batch)
+        references = [look.table for look in SPECS[table].lookups]
+        if references:
+            self.warehouse(batch, *references)
         if batch == 2:
-            self.load(table, 1)
+            self.warehouse(1, table)
+        return self._merge(table, batch, options)
+
+    def _merge(self, table: str, batch: int, options: LoadOptions = LoadOptions()) -> Merge:
         return load_table(
             SPECS[table],
             self.source(table, batch),
@@ -52,28 +65,30 @@ class TwoBatches:
             batch,
             LOAD_TS[batch],
             options,
-            stage if batch == 2 else lambda df, name: df,
+            stage,
         )
 
-    def load(self, table: str, batch: int) -> None:
+    def _load(self, table: str, batch: int) -> None:
         """Load one table and keep its current and closed versions."""
-        into = self._loaded[batch]
-        if table in into.current:
-            return
-        done, columns = self.merge(table, batch), WAREHOUSE_TABLES[table].names
-        self._merges[table, batch] = done
-        into.current[table] = stage(done.current().select(*columns), f"{table}_{batch}")
+        into, columns = self._loaded[batch], WAREHOUSE_TABLES[table].names
+        done = self._merge(table, batch)
         if done.closed is not None:
             into.history[table] = stage(done.closed.select(*columns), f"{table}_{batch}_closed")
+        into.current[table] = stage(done.current().select(*columns), f"{table}_{batch}")
+        self._merges[table, batch] = done
 
     def done(self, table: str, batch: int) -> Merge:
-        self.load(table, batch)
+        self.warehouse(batch, table)
         return self._merges[table, batch]
 
     def warehouse(self, batch: int, *tables: str) -> Warehouse:
         """The warehouse after a batch, with at least the given tables (default: all)."""
-        for table in tables or SPECS:
-            self.load(table, batch)
+        wanted = _with_references(tables or SPECS)
+        if batch == 2:
+            self.warehouse(1, *wanted)
+        missing = [t for t in wanted if t not in self._loaded[batch].current]
+        for wave in waves(missing):
+            side_by_side(lambda spec: self._load(spec.name, batch), wave)
         return self._loaded[batch]
 
     def versions(self, table: str, batch: int = 2) -> DataFrame:
@@ -85,7 +100,9 @@ class TwoBatches:
             self._stars[batch] = build_star(
                 self.spark,
                 self.warehouse(batch),
-                keep=lambda tables: {n: stage(df, f"{n}_{batch}") for n, df in tables.items()},
+                keep=lambda tables: dict(
+                    zip(tables, side_by_side(lambda t: stage(t[1], t[0]), tables.items()))
+                ),
             )
         return self._stars[batch]
 
