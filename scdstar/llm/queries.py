@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scdstar.llm import quality
+from scdstar.llm import contain, jaccard, quality
 from scdstar.llm.common import table
 
 
@@ -18,8 +18,62 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_classes(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id"
+    )
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contain.contained_items(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_jaccard_join": op1_jaccard_join,
+    "op4_decontamination": op4_decontamination,
     "op8_quality_rules": op8_quality_rules,
 }
 
-SQL: dict[str, str] = {}
+
+def _shingles(table: str, key: str, size: int) -> str:
+    """SQL for distinct (key, shingle) of a table's texts."""
+    return f"""
+    SELECT {key}, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {size} THEN [array_to_string(w, ' ')]
+      ELSE list_distinct(list_transform(range(1, len(w) - {size - 2}),
+        lambda i: array_to_string(w[i:i + {size - 1}], ' '))) END) AS g
+    FROM (SELECT {key}, list_filter(string_split_regex(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'),
+      lambda x: x <> '') AS w FROM {table})"""
+
+
+SQL: dict[str, str] = {
+    "op1_jaccard_join": f"""
+WITH RECURSIVE s AS ({_shingles("documents", "doc_id", 4)}),
+n AS (SELECT d.doc_id, count(s.g) AS n FROM documents d LEFT JOIN s ON s.doc_id = d.doc_id GROUP BY 1),
+both_in AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2
+),
+links AS (
+  SELECT a, b FROM both_in JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * c >= 85 * (x.n + y.n - c)
+),
+reach AS (
+  SELECT doc_id, doc_id AS r FROM documents
+  UNION
+  SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.r
+)
+SELECT n.doc_id, n.n AS n_shingles, min(r) AS component_id
+FROM n JOIN reach ON reach.doc_id = n.doc_id GROUP BY 1, 2
+""",
+    "op4_decontamination": f"""
+WITH d AS ({_shingles("documents", "doc_id", 5)}),
+b AS ({_shingles("benchmark", "item_id", 5)}),
+n AS (SELECT item_id, count(*) AS n FROM b GROUP BY 1)
+SELECT doc_id, b.item_id, n.n AS n_shingles, count(*) AS n_shared
+FROM b JOIN d ON d.g = b.g JOIN n ON n.item_id = b.item_id
+GROUP BY 1, 2, 3 HAVING 100 * count(*) >= 80 * n.n
+""",
+}
