@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scdstar.llm import contain, jaccard, quality
+from scdstar.llm import contain, jaccard, mixing, quality
 from scdstar.llm.common import table
 
 
@@ -30,9 +30,19 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    domains = sorted(mixing.TARGETS)
+    return mixed.select(
+        "doc_id", "n_tokens", *[mixed["p"][k].alias(f"p_{d}") for k, d in enumerate(domains)],
+        "rate", "copies",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op4_decontamination": op4_decontamination,
+    "op5_mixing": op5_mixing,
     "op8_quality_rules": op8_quality_rules,
 }
 
