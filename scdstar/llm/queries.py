@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from scdstar.llm import contain, jaccard, mixing, quality
+from scdstar.llm import contain, jaccard, mixing, quality, tokenfiles
 from scdstar.llm.common import table
 
+#: Follows every document in token files.
+END_ID = 2
+
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged, _ = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -39,11 +43,20 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = tokenfiles.new_folder(spark, "token-files")
+    tokenfiles.write_tokens(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), folder, END_ID
+    )
+    return tokenfiles.read_tokens(spark, folder)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op4_decontamination": op4_decontamination,
     "op5_mixing": op5_mixing,
     "op8_quality_rules": op8_quality_rules,
+    "op9_token_files": op9_token_files,
 }
 
 
