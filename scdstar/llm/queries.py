@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from scdstar.llm import contain, jaccard, mixing, quality, tokenfiles
+from scdstar.llm import chat, contain, jaccard, mixing, quality, sharding, tokenfiles
 from scdstar.llm.common import table
+from scdstar.session import stage
 
 #: Follows every document in token files.
 END_ID = 2
@@ -51,12 +53,40 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.read_tokens(spark, folder)
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"), 8).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "piece",
+    )
+
+
+def op10_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hard = spark.sql(
+        r"SELECT -7L AS conv_id, turn, role, r'\### Assistant: </turn> ok' AS text"
+        " FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)"
+    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    messages = stage(chat.chains(rows.unionByName(hard)), "chat-messages")
+    read = chat.parsed(stage(chat.formatted(messages), "chat-formatted"))
+    turns = F.array_join(F.transform("turns", lambda t: F.concat(
+        t["role"], F.lit("\n"), t["text"], F.lit("\n")
+    )), "")
+    loss = chat.loss_text(F.col("formatted"), F.col("loss"))
+    return read.select(
+        F.col("tree").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(turns, 256).alias("turns_sha256"), F.length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss, 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op4_decontamination": op4_decontamination,
     "op5_mixing": op5_mixing,
+    "op6_sharding": op6_sharding,
     "op8_quality_rules": op8_quality_rules,
     "op9_token_files": op9_token_files,
+    "op10_reply_trees": op10_reply_trees,
 }
 
 
@@ -98,5 +128,23 @@ n AS (SELECT item_id, count(*) AS n FROM b GROUP BY 1)
 SELECT doc_id, b.item_id, n.n AS n_shingles, count(*) AS n_shared
 FROM b JOIN d ON d.g = b.g JOIN n ON n.item_id = b.item_id
 GROUP BY 1, 2, 3 HAVING 100 * count(*) >= 80 * n.n
+""",
+    "op10_reply_trees": r"""
+WITH c AS (
+  SELECT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')
+),
+t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    replace(replace(coalesce(text, ''), '\', '\\'), '<|', '<\|') AS e,
+    replace(replace(replace(coalesce(role, ''), '\', '\\'), '<|', '<\|'), chr(10), '\n') AS r
+  FROM c
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length(e) + length(r) + 17)::BIGINT AS formatted_chars
+FROM t GROUP BY conv_id
 """,
 }
