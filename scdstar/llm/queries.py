@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scdstar.llm import chat, contain, jaccard, mixing, quality, sharding, tokenfiles
+from scdstar.llm import chat, contain, jaccard, maintext, mixing, quality, sharding, tokenfiles
 from scdstar.llm.common import table
 from scdstar.session import stage
 
@@ -53,6 +53,10 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.read_tokens(spark, folder)
 
 
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maintext.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), 8).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -84,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontamination": op4_decontamination,
     "op5_mixing": op5_mixing,
     "op6_sharding": op6_sharding,
+    "op7_main_text": op7_main_text,
     "op8_quality_rules": op8_quality_rules,
     "op9_token_files": op9_token_files,
     "op10_reply_trees": op10_reply_trees,
