@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scdstar.llm import chat, contain, jaccard, maintext, mixing, quality, sharding, tokenfiles
+from scdstar.llm import chat, contain, jaccard, maintext, mixing, quality, sharding, tokenfiles, toxicity
 from scdstar.llm.common import table
 from scdstar.session import stage
 
@@ -30,6 +30,14 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 4 == 2, F.lit(False))
+    labels = table(spark, sf_dir, "labels").filter(~held_out)
+    return toxicity.score(table(spark, sf_dir, "documents"), labels).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contain.contained_items(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -85,6 +93,7 @@ def op10_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
+    "op3_toxicity": op3_toxicity,
     "op4_decontamination": op4_decontamination,
     "op5_mixing": op5_mixing,
     "op6_sharding": op6_sharding,
