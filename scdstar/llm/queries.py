@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scdstar.llm import chat, contain, jaccard, maintext, mixing, quality, sharding, tokenfiles, toxicity
+from scdstar.llm import chat, contain, jaccard, maintext, mixing, quality, sharding, tokencounts, tokenfiles, toxicity
 from scdstar.llm.common import table
 from scdstar.session import stage
 
@@ -30,6 +30,16 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = tokencounts.token_counts(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")
+    )
+    return counted.select(
+        "doc_id", F.col("section").alias("line"), "start", "end",
+        F.expr(f"units div {tokencounts.UNITS}").alias("n_tokens"),
+    )
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 4 == 2, F.lit(False))
     labels = table(spark, sf_dir, "labels").filter(~held_out)
@@ -93,6 +103,7 @@ def op10_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
+    "op2_token_counts": op2_token_counts,
     "op3_toxicity": op3_toxicity,
     "op4_decontamination": op4_decontamination,
     "op5_mixing": op5_mixing,
