@@ -284,7 +284,12 @@ def judge(docs: DataFrame, labels: DataFrame, *keep: str, **learning) -> tuple[D
 
 
 def apply_rules(docs: DataFrame, rules: list[Rule]) -> DataFrame:
-    """The rows of ``docs`` that no rule rejects, with all their columns."""
+    """The rows of ``docs`` that no rule rejects, with all their columns, without a shuffle.
+
+    Rows go through an array of one or nothing, as the optimizer would move a filter below
+    the statistics, and write out their definitions in it again and again.
+    """
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("text"))
     judged = base_statistics(rows, "row")
-    return judged.filter(verdict(rules).isNull()).select("row.*")
+    once = F.when(verdict(rules).isNull(), F.array(F.col("row")))
+    return judged.select(F.explode(once).alias("row")).select("row.*")
