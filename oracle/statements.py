@@ -170,6 +170,10 @@ FROM (SELECT (SELECT count(*) FROM {versions} WHERE insert_id = {batch}) AS inse
              (SELECT count(*) FROM {changed}) AS n_changed)"""
 
 
+add("batch_after_failure", "SELECT * FROM wh1_customers")
+add("batch_two_streams",
+    "SELECT flight_id, customer_id, date_published, rating, content FROM wh1_airline_reviews")
+add("batch_close_missing_streamed", "SELECT * FROM wh1_airline_reviews")
 add("batch_report", " UNION ALL ".join(
     [_reported(1, t, f"wh1_{t}", f"source1_{t}") for t in TABLES]
     + [_reported(2, t, f"wh2_{t}", f"changes_{t}") for t in TABLES if t != "airline_reviews"]

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 
-BUCKETS = 4096
+BUCKETS = 1 << 20
 NEW_ID = 10**15
 TS1 = "TIMESTAMP '2024-06-01 00:00:00'"
 TS2 = "TIMESTAMP '2024-06-02 00:00:00'"
@@ -45,23 +45,24 @@ SELECT o_orderkey AS flight_id, 'FL' || lpad(o_orderkey::VARCHAR, 7, '0') AS fli
        delay::INTEGER AS delay_minutes,
        CASE o_orderstatus WHEN 'F' THEN 'scheduled' WHEN 'O' THEN 'delayed'
             ELSE 'cancelled' END AS status,
-       CASE WHEN o_orderstatus <> 'P' THEN o_orderkey % 10 END AS pilot_id,
-       CASE WHEN o_orderstatus <> 'P' THEN (o_orderkey + 1 + o_custkey % 9) % 10 END AS copilot_id,
-       o_orderkey % 200 AS airplane_id,
+       CASE WHEN o_orderstatus <> 'P' THEN o_orderkey % (SELECT max(s_suppkey) + 1 FROM supplier) END AS pilot_id,
+       CASE WHEN o_orderstatus <> 'P' THEN (o_orderkey + 1 + o_custkey % 9)
+            % (SELECT max(s_suppkey) + 1 FROM supplier) END AS copilot_id,
+       o_orderkey % (SELECT max(p_partkey) + 1 FROM part) AS airplane_id,
        o_orderstatus <> 'P' AND o_orderkey % 10 = 0 AS is_ferry_flight,
        3.5::DOUBLE AS estimated_flight_hours
 FROM (SELECT *, CASE WHEN o_orderstatus = 'O' THEN 15 + o_orderkey % 106 ELSE 0 END AS delay
       FROM orders)"""
 CTES["source1_flight_bookings"] = """
 SELECT l_orderkey * 10 + l_linenumber AS flight_booking_id, l_orderkey AS flight_id,
-       min(l_partkey) % 150 AS customer_id, l_linenumber::VARCHAR AS seat_number
+       min(l_partkey) % (SELECT max(c_custkey) + 1 FROM customer) AS customer_id, l_linenumber::VARCHAR AS seat_number
 FROM lineitem GROUP BY l_orderkey, l_linenumber"""
 CTES["source1_flight_cabin_crew"] = """
 SELECT DISTINCT l_orderkey * 10000 + l_suppkey AS flight_cabin_crew_id,
        l_orderkey AS flight_id, l_suppkey AS cabin_crew_id
 FROM lineitem"""
 CTES["source1_airline_reviews"] = """
-SELECT event_id % 1500 AS flight_id, user_id AS customer_id, event_type AS seat_class,
+SELECT event_id % (SELECT max(o_orderkey) + 1 FROM orders) AS flight_id, user_id AS customer_id, event_type AS seat_class,
        props AS content, value AS rating, value > 100 AS recommended,
        (event_id % 6)::INTEGER AS seat_comfort, ((event_id + 1) % 6)::INTEGER
          AS cabin_staff_service,
@@ -92,7 +93,7 @@ SELECT * REPLACE (
   CASE WHEN flight_id % 17 = 0 THEN 'cancelled' ELSE status END AS status,
   CASE WHEN flight_id % 17 <> 0 THEN pilot_id END AS pilot_id,
   CASE WHEN flight_id % 17 <> 0 THEN copilot_id END AS copilot_id,
-  CASE WHEN flight_id % 19 = 0 THEN (airplane_id + 1) % 200 ELSE airplane_id END AS airplane_id)
+  CASE WHEN flight_id % 19 = 0 THEN (airplane_id + 1) % (SELECT max(p_partkey) + 1 FROM part) ELSE airplane_id END AS airplane_id)
 FROM source1_flights
 UNION ALL
 SELECT * REPLACE (flight_id + {NEW_ID} AS flight_id)
@@ -100,7 +101,7 @@ FROM source1_flights WHERE flight_id % 101 = 0"""
 CTES["source2_flight_bookings"] = f"""
 SELECT * REPLACE (
   CASE WHEN flight_booking_id % 7 = 0 THEN seat_number || 'A' ELSE seat_number END AS seat_number,
-  CASE WHEN flight_booking_id % 5 = 0 THEN (customer_id + 1) % 150 ELSE customer_id END
+  CASE WHEN flight_booking_id % 5 = 0 THEN (customer_id + 1) % (SELECT max(c_custkey) + 1 FROM customer) ELSE customer_id END
     AS customer_id)
 FROM source1_flight_bookings
 UNION ALL
@@ -179,7 +180,7 @@ def opened(name: str, batch: int, rows: str, base: str) -> str:
         for i, (column, table, natural, ref_sk, _) in enumerate(refs)
     )
     found = "".join(f", r{i}.{ref[3]} AS {ref[4]}" for i, ref in enumerate(refs))
-    bucket = f"('0x' || substr(md5({text}), 1, 3))::BIGINT"
+    bucket = f"('0x' || substr(md5({text}), 1, 5))::BIGINT"
     return f"""
 SELECT {base} + (row_number() OVER (PARTITION BY {bucket} ORDER BY {order}) - 1) * {BUCKETS}
        + {bucket} + 1 AS {sk}, s.*{found},

@@ -6,8 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-KEY_BUCKETS = 4096
-_HEX_DIGITS = 3  # 16 ** 3 == KEY_BUCKETS
+KEY_BUCKETS = 1 << 20
+_HEX_DIGITS = 5  # 16 ** 5 == KEY_BUCKETS
 
 
 def key_bucket(key: Sequence[str]) -> Column:

@@ -7,7 +7,7 @@ batch that fails before is repeated under the same id, on the same state.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -95,10 +95,26 @@ class Pipeline:
         return self._run(batch_id, sources, reviews, load_ts, initial=True)
 
     def run_batch(
-        self, sources: Mapping[str, DataFrame], reviews: DataFrame | None, load_ts: str
+        self,
+        sources: Mapping[str, DataFrame],
+        reviews: DataFrame | None,
+        load_ts: str,
+        partial: Collection[str] = (),
     ) -> int:
-        """Load one batch on top of the last one. Tables without source stay as they are."""
-        return self._run(self.next_batch_id(), sources, reviews, load_ts)
+        """Load one batch on top of the last one. Tables without source stay as they are.
+
+        ``partial`` names the tables whose source holds some of their rows only: under
+        ``close_missing`` nothing of theirs is closed for being absent.
+        """
+        return self._run(self.next_batch_id(), sources, reviews, load_ts, partial=partial)
+
+    def _check_time(self, load_ts: str) -> None:
+        """Versions must not end before they start."""
+        loaded = self.audit().where("status = 'ok' AND namespace = 'batch'")
+        last = loaded.agg(F.max(F.col("load_ts").cast("timestamp")))
+        late = last.select((F.lit(load_ts).cast("timestamp") >= F.col(last.columns[0])).alias("ok"))
+        if late.first().ok is False:
+            raise ValueError(f"load time {load_ts} is before that of the last batch")
 
     def run_epoch(
         self,
@@ -108,9 +124,17 @@ class Pipeline:
         reviews: DataFrame,
         load_ts: str,
     ) -> int | None:
-        """Load a micro-batch of a stream, unless it was loaded already."""
-        seen = self.audit().where(
+        """Load a micro-batch of a stream, unless it was loaded since the last initial load.
+
+        ``stream`` tells apart streams that count epochs by themselves, such as those
+        with checkpoints of their own. Their reviews are new files only, so they never
+        stand for all reviews.
+        """
+        audit = self.audit()
+        reset = audit.where("status = 'reset'").agg(F.coalesce(F.max("batch_id"), F.lit(0)))
+        seen = audit.where(
             (F.col("status") == "ok")
+            & (F.col("batch_id") >= reset.scalar())
             & (F.col("namespace") == "stream")
             & (F.col("table_name") == stream)
             & (F.col("version") == epoch)
@@ -118,7 +142,8 @@ class Pipeline:
         if not seen.isEmpty():
             return None
         return self._run(
-            self.next_batch_id(), sources, reviews, load_ts, stream_epoch=(stream, epoch)
+            self.next_batch_id(), sources, reviews, load_ts, stream_epoch=(stream, epoch),
+            partial=(REVIEWS.name,),
         )
 
     def _run(
@@ -129,19 +154,22 @@ class Pipeline:
         load_ts: str,
         initial: bool = False,
         stream_epoch: tuple[str, int] | None = None,
+        partial: Collection[str] = (),
     ) -> int:
         try:
             previous = {} if initial else self._state()
             if not initial and not previous:
                 raise RuntimeError("no initial load yet")
             versions = dict(previous)
-            report = self._load_warehouse(batch_id, sources, reviews, load_ts, versions)
+            if not initial:
+                self._check_time(load_ts)
+            report = self._load_warehouse(batch_id, sources, reviews, load_ts, versions, partial)
             report += self._load_star(batch_id, load_ts, versions, report, initial)
             self._publish(batch_id, versions)
         except Exception as error:
             self._report(
                 [(batch_id, load_ts, "batch", "all", batch_id, None, None, None, "failed",
-                  str(error)[:2000])]
+                  str(error))]
             )
             raise
         if stream_epoch:
@@ -182,9 +210,11 @@ class Pipeline:
         reviews: DataFrame | None,
         load_ts: str,
         versions: dict[tuple[str, str], int],
+        partial: Collection[str] = (),
     ) -> list[tuple]:
         """Load every table that has a source, and move ``versions`` on."""
         namespace = self.names.warehouse
+        catalog.drop_uncommitted_history(self.spark, namespace, WAREHOUSE_TABLES, batch_id)
         before = self.warehouse(versions, batch_id - 1)
         after = Warehouse(dict(before.current), dict(before.history))
         given = dict(sources)
@@ -195,8 +225,11 @@ class Pipeline:
         def load(spec: TableSpec) -> tuple:
             name, schema = spec.name, WAREHOUSE_TABLES[spec.name]
             catalog.ensure_history(self.spark, namespace, name, schema)
+            # A source that holds some rows only says nothing about the others.
+            whole = self.options.close_missing and name not in partial
+            options = replace(self.options, close_missing=whole)
             done = load_table(
-                spec, given[name], before, after, batch_id, load_ts, self.options, self._stage
+                spec, given[name], before, after, batch_id, load_ts, options, self._stage
             )
             n_changes, n_closed = done.changes.agg(F.count("*"), F.count(CLOSES)).first()
             if done.kept is not None:
@@ -204,13 +237,13 @@ class Pipeline:
                 # the versions made from the changes tell whether to rewrite.
                 done = replace(done, inserted=self._stage(done.inserted, f"{name}_inserted"))
                 n_inserted = done.inserted.count()
-            if done.kept is None or n_inserted or n_closed or self.options.close_missing:
+            if done.kept is None or n_inserted or n_closed or whole:
                 rows = done.current().select(*schema.names)
                 after.current[name] = catalog.save_version(rows, namespace, name, batch_id)
                 versions[namespace, name] = batch_id
             if done.kept is None:
                 n_inserted = after.current[name].count()
-            elif n_closed or self.options.close_missing:
+            elif n_closed or whole:
                 n_closed = catalog.add_history(done.closed, namespace, name, batch_id)
             after.history[name] = catalog.read_history(
                 self.spark, namespace, name, schema, batch_id

@@ -8,9 +8,9 @@ shared folder.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from scdstar.operators.scd2 import LoadOptions, Merge
 from scdstar.plans.batch import Namespaces, Pipeline
@@ -113,28 +113,70 @@ class TwoBatches:
         which loads the operational tables of batch 2 along with them.
         """
         if self._pipeline is None:
-            name = f"scdstar_{uuid.uuid4().hex[:12]}"
-            root = f"{shared_folder(self.spark)}/{name}"
-            runner = Pipeline(
-                self.spark,
-                Namespaces(f"{name}_warehouse", f"{name}_star", f"{name}_staging",
-                           f"{name}_control"),
-                root=root,
-            )
+            runner = self._new_pipeline()
             runner.run_initial(*snapshot(self.spark, self.folder, 1), LOAD_TS[1])
             tables, reviews = snapshot(self.spark, self.folder, 2)
-            write_reviews(reviews, f"{root}/reviews")
-            stream_reviews(
-                runner,
-                f"{root}/reviews",
-                operational=lambda: tables,
-                checkpoint=f"{root}/stream",
-                every=None,
-                clock=lambda: LOAD_TS[2],
-            ).awaitTermination()
+            self._stream(runner, reviews, "all", tables)
             self._pipeline = runner
         return self._pipeline
 
+    def _new_pipeline(self, options: LoadOptions = LoadOptions()) -> Pipeline:
+        name = f"scdstar_{uuid.uuid4().hex[:12]}"
+        return Pipeline(
+            self.spark,
+            Namespaces(f"{name}_warehouse", f"{name}_star", f"{name}_staging", f"{name}_control"),
+            options,
+            f"{shared_folder(self.spark)}/{name}",
+        )
+
+    def _stream(
+        self,
+        runner: Pipeline,
+        reviews: DataFrame,
+        part: str,
+        tables: Mapping[str, DataFrame] | None = None,
+    ) -> None:
+        """Write reviews as files, and load them by a stream with a checkpoint of its own."""
+        write_reviews(reviews, f"{runner.root}/reviews-{part}")
+        stream_reviews(
+            runner,
+            f"{runner.root}/reviews-{part}",
+            operational=lambda: tables or {},
+            checkpoint=f"{runner.root}/stream-{part}",
+            every=None,
+            clock=lambda: LOAD_TS[2],
+        ).awaitTermination()
+
+    def after_failure(self) -> Pipeline:
+        """Batch 2 fails in its last table, and the next batch has the airports only."""
+        runner = self._new_pipeline()
+        runner.run_initial(*snapshot(self.spark, self.folder, 1), LOAD_TS[1])
+        tables, reviews = snapshot(self.spark, self.folder, 2)
+        lost = F.raise_error(F.lit("lost connection")).cast("string")
+        broken = tables | {"flight_bookings": tables["flight_bookings"].withColumn("seat_number", lost)}
+        try:
+            runner.run_batch(broken, reviews, LOAD_TS[2])
+        except Exception as error:
+            if "lost connection" not in str(error):
+                raise
+        else:
+            raise RuntimeError("the broken batch went through")
+        runner.run_batch({"airports": tables["airports"]}, None, LOAD_TS[2])
+        return runner
+
+    def streamed_in_two(self, initial_reviews: bool, options: LoadOptions = LoadOptions()) -> Pipeline:
+        """All reviews of batch 1 by two streams of one name, each of which has some
+        customers' reviews and a checkpoint of its own; on top of an initial load with or
+        without them."""
+        runner = self._new_pipeline(options)
+        tables, reviews = snapshot(self.spark, self.folder, 1)
+        given = reviews if initial_reviews else reviews.limit(0)
+        runner.run_initial(tables, given, LOAD_TS[1])
+        even = F.col("customer_id") % 2 == 0
+        self._stream(runner, reviews.where(even), "even")
+        self._stream(runner, reviews.where(~even), "odd")
+        return runner
+
 
 def two_batches(spark: SparkSession, folder: str) -> TwoBatches:
     """The loads of ``folder``, shared by the queries of one session."""

@@ -341,6 +341,29 @@ def batch_report(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def batch_after_failure(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers after a batch that failed late and a batch without them."""
+    runner = two_batches(spark, folder).after_failure()
+    return shown(spark.table(f"{runner.names.warehouse}.customers"))
+
+
+@query
+def batch_two_streams(spark: SparkSession, folder: str) -> DataFrame:
+    """Reviews that came by two streams with checkpoints of their own."""
+    runner = two_batches(spark, folder).streamed_in_two(False)
+    reviews = spark.table(f"{runner.names.warehouse}.airline_reviews")
+    return reviews.select("flight_id", "customer_id", "date_published", "rating", "content")
+
+
+@query
+def batch_close_missing_streamed(spark: SparkSession, folder: str) -> DataFrame:
+    """Reviews that are all there already, after streams of some of them each."""
+    loads = two_batches(spark, folder)
+    runner = loads.streamed_in_two(True, LoadOptions(close_missing=True))
+    return shown(spark.table(f"{runner.names.warehouse}.airline_reviews"))
+
+
 # -- audits ------------------------------------------------------------------------
 
 

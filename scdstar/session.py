@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 Item = TypeVar("Item")
@@ -66,4 +67,5 @@ def side_by_side(run: Callable[[Item], Result], items: Iterable[Item]) -> list[R
     """Submit independent Spark jobs at the same time, so that small tables fill the
     executors a large one leaves idle. Results come in the order of the items."""
     with ThreadPoolExecutor(max_workers=8) as pool:
-        return list(pool.map(run, items))
+        # Job groups and local properties go along, so that stopping a query stops its jobs.
+        return [f.result() for f in [pool.submit(inheritable_thread_target(run), i) for i in items]]

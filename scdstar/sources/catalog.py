@@ -8,7 +8,7 @@ per warehouse table, partitioned by the batch that closed them.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -137,6 +137,21 @@ def ensure_history(
     )
 
 
+def drop_uncommitted_history(
+    spark: SparkSession, namespace: str, tables: Iterable[str], batch_id: int
+) -> None:
+    """Drop what failed attempts closed: partitions of ``batch_id`` and later, of every table,
+    whether or not the coming attempt closes rows of it."""
+    for table in tables:
+        target = f"{namespace}.{table}__history"
+        if spark.catalog.tableExists(target):
+            stale = spark.sql(f"SHOW PARTITIONS {target}").where(
+                F.substring_index("partition", "=", -1).cast("int") >= batch_id
+            )
+            for found in stale.collect():  # of attempts that failed since the last success
+                spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({found.partition})")
+
+
 def add_history(df: DataFrame, namespace: str, table: str, batch_id: int) -> int:
     """Append the versions a batch closed, replacing those of a failed attempt.
 

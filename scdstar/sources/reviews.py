@@ -120,6 +120,8 @@ def write_reviews(reviews: DataFrame, path: str, rows_per_file: int = 1_000_000)
         .option("quote", '"')
         .option("escape", '"')
         .option("emptyValue", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("lineSep", "\n")
         .option("maxRecordsPerFile", rows_per_file)
         .mode("overwrite")

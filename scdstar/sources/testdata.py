@@ -39,6 +39,11 @@ def _minutes(column: Column) -> Column:
     return F.make_dt_interval(F.lit(0), F.lit(0), column.cast("int"))
 
 
+def _ids(spark: SparkSession, folder: str, table: str, key: str) -> Column:
+    """One more than the highest id of a table, so that a remainder by it can be any id."""
+    return _table(spark, folder, table).agg(F.max(key) + 1).scalar()
+
+
 def _batch1(spark: SparkSession, folder: str, name: str) -> DataFrame:
     if name == "airports":
         nation, region = _table(spark, folder, "nation"), _table(spark, folder, "region")
@@ -74,6 +79,7 @@ def _batch1(spark: SparkSession, folder: str, name: str) -> DataFrame:
     elif name == "flights":
         key, cust, state = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderstatus")
         flown = state != "P"
+        pilots = _ids(spark, folder, "supplier", "s_suppkey")
         delay = F.when(state == "O", 15 + key % 106).otherwise(0)
         df = _table(spark, folder, "orders").select(
             key.alias("id"),
@@ -89,9 +95,9 @@ def _batch1(spark: SparkSession, folder: str, name: str) -> DataFrame:
             .when(state == "O", "delayed")
             .otherwise("cancelled")
             .alias("status"),
-            F.when(flown, key % 10).alias("pilot_id"),
-            F.when(flown, (key + 1 + cust % 9) % 10).alias("copilot_id"),
-            (key % 200).alias("airplane_id"),
+            F.when(flown, key % pilots).alias("pilot_id"),
+            F.when(flown, (key + 1 + cust % 9) % pilots).alias("copilot_id"),
+            (key % _ids(spark, folder, "part", "p_partkey")).alias("airplane_id"),
             (flown & (key % 10 == 0)).alias("is_ferry_flight"),
             F.lit(3.5).alias("estimated_flight_hours"),
         )
@@ -99,7 +105,8 @@ def _batch1(spark: SparkSession, folder: str, name: str) -> DataFrame:
         df = (
             _table(spark, folder, "lineitem")
             .groupBy("l_orderkey", "l_linenumber")
-            .agg((F.min("l_partkey") % 150).alias("customer_id"))
+            .agg(F.min("l_partkey").alias("least"))
+            .withColumn("customer_id", F.col("least") % _ids(spark, folder, "customer", "c_custkey"))
             .select(
                 (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
                 F.col("l_orderkey").alias("flight_id"),
@@ -121,7 +128,7 @@ def _batch1(spark: SparkSession, folder: str, name: str) -> DataFrame:
     elif name == "airline_reviews":
         scores = STAGED_REVIEWS.names[6:11]
         df = _table(spark, folder, "events").select(
-            (F.col("event_id") % 1500).alias("flight_id"),
+            (F.col("event_id") % _ids(spark, folder, "orders", "o_orderkey")).alias("flight_id"),
             F.col("user_id").alias("customer_id"),
             F.col("event_type").alias("seat_class"),
             F.col("props").alias("content"),
@@ -174,7 +181,8 @@ def _batch2(spark: SparkSession, folder: str, name: str) -> DataFrame:
                 "pilot_id": F.when(~dropped, F.col("pilot_id")),
                 "copilot_id": F.when(~dropped, F.col("copilot_id")),
                 "airplane_id": F.when(
-                    flight % 19 == 0, (F.col("airplane_id") + 1) % 200
+                    flight % 19 == 0,
+                    (F.col("airplane_id") + 1) % _ids(spark, folder, "part", "p_partkey"),
                 ).otherwise(F.col("airplane_id")),
             }
         )
@@ -188,7 +196,8 @@ def _batch2(spark: SparkSession, folder: str, name: str) -> DataFrame:
                     booking % 7 == 0, F.concat("seat_number", F.lit("A"))
                 ).otherwise(F.col("seat_number")),
                 "customer_id": F.when(
-                    booking % 5 == 0, (F.col("customer_id") + 1) % 150
+                    booking % 5 == 0,
+                    (F.col("customer_id") + 1) % _ids(spark, folder, "customer", "c_custkey"),
                 ).otherwise(F.col("customer_id")),
             }
         )

@@ -34,7 +34,7 @@ def stream_reviews(
     ``operational`` supplies the operational tables to load along with them. With
     ``every=None`` the files there are loaded and the query stops. All state is in
     the warehouse, so there is no watermark; an epoch that is replayed after a
-    failure is loaded once.
+    failure is loaded once. A stream with a new checkpoint loads all files it finds.
     """
     spark = pipeline.spark
     text = (
@@ -44,7 +44,11 @@ def stream_reviews(
     )
 
     def load(rows: DataFrame, epoch: int) -> None:
-        pipeline.run_epoch(name, epoch, operational(), parse_staged_text(rows), clock())
+        # Epochs count within a checkpoint, which keeps the id of the query.
+        query = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        pipeline.run_epoch(
+            f"{name}/{query}", epoch, operational(), parse_staged_text(rows), clock()
+        )
 
     writer = (
         text.writeStream.queryName(name)

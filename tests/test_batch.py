@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from scdstar.operators import lineage
+from scdstar.operators.scd2 import LoadOptions
 from scdstar.plans.batch import Namespaces, Pipeline
 from scdstar.plans.star import build_star
 from scdstar.plans.two_batches import two_batches
@@ -125,10 +126,32 @@ def test_stream_equals_one_batch(spark, small, tmp_path):
     assert rows(found.select("insert_id").distinct()) == [(2,), (3,)]
     assert spark.table("s_star.fact_review").count() == expected.count()
     # A replayed epoch is recognized.
-    assert runner.run_epoch("reviews", 0, {}, reviews, "2024-06-09 00:00:00") is None
+    stream = runner.audit().where("namespace = 'stream'").first().table_name
+    assert runner.run_epoch(stream, 0, {}, reviews, "2024-06-09 00:00:00") is None
+    # A new checkpoint counts from 0 again, and its files are loaded.
+    before = runner.last_batch_id()
+    stream_reviews(runner, str(folder), checkpoint=str(tmp_path / "fresh"), every=None,
+                   clock=lambda: "2024-06-09 00:00:00").awaitTermination()
+    assert runner.last_batch_id() > before
+    with pytest.raises(ValueError, match="before that of the last batch"):
+        runner.run_batch({}, None, "2024-06-01 12:00:00")
     reset(spark, runner.names)
 
 
+def test_a_failed_batch_leaves_no_closures(spark, small):
+    runner = two_batches(spark, small).after_failure()
+    for name in ("customers", "flights"):
+        found = spark.table(f"{runner.names.warehouse}.{name}")
+        assert found.count() == two_batches(spark, small).versions(name, 1).count()
+        assert found.where("update_id IS NOT NULL").count() == 0
+
+
+def test_streams_close_nothing_for_being_absent(spark, small):
+    runner = two_batches(spark, small).streamed_in_two(True, LoadOptions(close_missing=True))
+    reviews = spark.table(f"{runner.names.warehouse}.airline_reviews")
+    assert reviews.where("update_id IS NOT NULL").count() == 0
+
+
 def test_namespace_ddl(spark):
     catalog.ensure_namespace(spark, "ddl_airline", OPERATIONAL)
     catalog.ensure_namespace(spark, "ddl_airline", OPERATIONAL)

@@ -95,3 +95,15 @@ def test_cleansed_reviews_fit_the_staging_table(spark):
     staged = staged_reviews(cleansed)
     assert staged.columns == STAGED_REVIEWS.names
     assert staged.first().rating == 2.0
+
+
+def test_padded_cells_come_back_as_they_were(spark, tmp_path):
+    values = [1, 2, "  Economy ", "  padded text  ", 1.5, True, 1, 2, 3, 4, 5, None]
+    row = spark.createDataFrame([tuple(values)], ", ".join(
+        f"{f.name} {f.dataType.simpleString()}" for f in STAGED_REVIEWS
+    )).withColumn("date_published", F.lit("2024-01-02 03:04:05").cast("timestamp"))
+    row = row.select(*[F.col(f.name).cast(f.dataType) for f in STAGED_REVIEWS])
+    write_reviews(row, str(tmp_path / "padded"))
+    for multiline in (True, False):
+        back = read_staged_reviews(spark, str(tmp_path / "padded"), multiline)
+        assert back.collect() == row.collect()

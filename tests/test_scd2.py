@@ -132,7 +132,7 @@ def test_assigned_keys_are_unique_above_the_base_and_repeatable(spark):
     again = assign_keys(df.repartition(7), "sk", ["k"], F.lit(1000).cast("long"))
     found = keyed.agg(F.min("sk"), F.max("sk"), F.count_distinct("sk")).first()
     assert found[0] > 1000 and found[2] == 20000
-    assert found[1] <= 1000 + 25 * KEY_BUCKETS
+    assert found[1] <= 1000 + 6 * KEY_BUCKETS
     assert rows(keyed) == rows(again)
 
 
