@@ -152,9 +152,11 @@ def merge(
     load_ts: str,
     options: LoadOptions = LoadOptions(),
     stage: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
+    latest: Callable[[Lookup], DataFrame] | None = None,
 ) -> Merge:
     """Load ``source`` as batch ``batch_id`` on top of a table's versions.
 
+    ``latest`` may give written latest versions, see :func:`resolve`.
     ``versions`` gives all versions of the tables this one refers to, as they are
     after their own load in this batch. ``stage`` may materialize the changed rows,
     which are used more than once. Pass ``current=None`` for a first load, where all
@@ -169,7 +171,7 @@ def merge(
     base = highest_key(current, spec.sk)
     if current is not None and history is not None:
         base = F.greatest(base, highest_key(history, spec.sk))
-    resolved = resolve(changes.drop(CLOSES), spec.lookups, versions)
+    resolved = resolve(changes.drop(CLOSES), spec.lookups, versions, latest)
     fresh = stamp_inserted(
         assign_keys(resolved, spec.sk, spec.key, base), batch_id, spec.source_id, load_ts
     )

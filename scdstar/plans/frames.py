@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from threading import Lock
 
 from pyspark.sql import DataFrame
 
 from scdstar.operators.lineage import expired
+from scdstar.operators.lookup import Lookup, latest_of
 from scdstar.operators.scd2 import LoadOptions, Merge, TableSpec, merge, project_source
 
 Stage = Callable[[DataFrame, str], DataFrame]
@@ -27,12 +29,23 @@ class Warehouse:
 
     current: dict[str, DataFrame] = field(default_factory=dict)
     history: dict[str, DataFrame] = field(default_factory=dict)
+    _latest: dict[str, DataFrame] = field(default_factory=dict)
+    _lock: Lock = field(default_factory=Lock)
 
     def versions(self, table: str) -> DataFrame:
         rows = self.current[table]
         past = self.history.get(table)
         return rows if past is None else rows.unionByName(past)
 
+    def latest(self, look: Lookup, stage: Stage) -> DataFrame:
+        """The latest key of each natural key, written once for all lookups of a load, so
+        that history is aggregated once and each lookup is a plain join."""
+        with self._lock:
+            if look.table not in self._latest:
+                rows = latest_of(look, self.versions(look.table))
+                self._latest[look.table] = stage(rows, f"{look.table}_latest")
+            return self._latest[look.table]
+
     def expired(self, table: str) -> DataFrame:
         past = self.history.get(table)
         return expired(self.current[table]) if past is None else past
@@ -59,4 +72,5 @@ def load_table(
         load_ts,
         options,
         stage,
+        lambda look: after.latest(look, stage),
     )

@@ -5,7 +5,7 @@ import re
 import pytest
 
 from scdstar.operators import lineage
-from scdstar.operators.lookup import resolve
+from scdstar.operators.lookup import Lookup, resolve
 from scdstar.operators.scd2 import LoadOptions, detect_changes, merge, project_source
 from scdstar.plans.specs import SPECS, waves
 from scdstar.plans.star import fact_booking, refresh_star
@@ -115,3 +115,30 @@ def test_specs_cover_the_warehouse(loads):
         made = {spec.sk, *spec.columns, *(look.out for look in spec.lookups)}
         assert made == set(WAREHOUSE_TABLES[name].names) - {
             "start_date", "end_date", "source_id", "insert_id", "update_id"}
+
+
+def test_a_hot_reference_is_split(spark, tmp_path):
+    """The plan that ran has a skew join when the looked-up side is a written table."""
+    look = Lookup("flight_id", "flights", "flight_id", "flight_sk", "found_sk")
+    spark.range(50_000).selectExpr("id AS flight_id", "id + 7 AS flight_sk").write.parquet(
+        str(tmp_path / "latest"))
+    hot = spark.range(400_000).selectExpr(
+        "id", "CASE WHEN id % 10 = 0 THEN id % 50000 ELSE 3 END AS flight_id", "repeat('x', 30) AS t")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        latest = spark.read.parquet(str(tmp_path / "latest"))
+        done = resolve(hot, [look], lambda name: latest, lambda found: latest)
+        assert len(done.collect()) == 400_000
+        assert "isSkew=true" in done._jdf.queryExecution().executedPlan().toString() or (
+            "skew=true" in done._jdf.queryExecution().executedPlan().toString())
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
