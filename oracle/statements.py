@@ -185,6 +185,20 @@ _COLUMNS = ["id", "flight_number", "departure_airport_id", "arrival_airport_id",
 add("audit_not_null", " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, count(*) FILTER ({'flight_id' if c == 'id' else c} IS NULL)"
     f" AS n_null FROM source2_flights" for c in _COLUMNS))
+add("audit_constraints", """
+SELECT 'pilots' AS table_name, 'key' AS rule, 'id' AS columns, 2 * count(*)::BIGINT AS n_rows
+FROM source2_pilots WHERE pilot_id % 3 = 0
+UNION ALL SELECT 'customers', 'not null', 'email', count(*) FROM source2_customers
+WHERE customer_id % 7 = 0
+UNION ALL SELECT 'airplanes', 'unique', 'registration_number', count(*) FROM source2_airplanes
+WHERE airplane_id % 50 = 0
+UNION ALL SELECT 'flights', 'reference', 'airplane_id', count(*) FROM source2_flights
+WHERE flight_id % 11 = 0
+UNION ALL SELECT 'flights', 'enum', 'status', count(*) FROM source2_flights
+WHERE flight_id % 13 = 0
+UNION ALL SELECT 'flight_bookings', 'reference', 'customer_id', count(*)
+FROM source2_flight_bookings WHERE customer_id NOT IN (SELECT customer_id FROM source2_customers)
+HAVING count(*) > 0""")
 add("audit_unique", """
 SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
 GROUP BY ALL HAVING count(*) > 1""")

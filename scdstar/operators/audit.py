@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from scdstar.functions.columns import whole_minutes
 from scdstar.functions.ordered import previous_values, running_max_before
 from scdstar.operators.lineage import current
-from scdstar.schemas import FLIGHT_STATUSES
+from scdstar.schemas import CONSTRAINTS, FLIGHT_STATUSES, OPERATIONAL, Constraints
 
 # The rules flights obey.
 FLIGHT_MINUTES = 210
@@ -46,6 +47,45 @@ def dangling(child: DataFrame, ref: str, parent: DataFrame, key: str) -> DataFra
     return refs.join(parent.select(F.col(key).alias("ref")), "ref", "left_anti")
 
 
+def constraint_violations(
+    tables: Mapping[str, DataFrame],
+    schemas: Mapping[str, T.StructType] = OPERATIONAL,
+    constraints: Mapping[str, Constraints] = CONSTRAINTS,
+) -> DataFrame:
+    """Every declared constraint that is violated, with the number of rows that do.
+
+    Each check is an aggregation that combines map-side or a join of counted
+    references, so no table is gathered and hot values are one row per task.
+    """
+
+    def counted(found: DataFrame, table: str, rule: str, columns: Sequence[str]) -> DataFrame:
+        return found.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows")).select(
+            F.lit(table).alias("table_name"), F.lit(rule).alias("rule"),
+            F.lit(",".join(columns)).alias("columns"), "n_rows",
+        )
+
+    parts = []
+    for name, df in tables.items():
+        declared = constraints[name]
+        parts.append(
+            not_null(df, schemas[name]).select(
+                F.lit(name).alias("table_name"), F.lit("not null").alias("rule"),
+                F.col("column_name").alias("columns"), F.col("n_null").alias("n_rows"),
+            )
+        )
+        for rule, key in [("key", declared.key), *(("unique", u) for u in declared.unique)]:
+            parts.append(counted(duplicates(df, key), name, rule, key))
+        for ref, parent in declared.references:
+            if parent in tables:
+                key = constraints[parent].key[0]
+                parts.append(
+                    counted(dangling(df, ref, tables[parent], key), name, "reference", (ref,))
+                )
+        for column, allowed in declared.enums:
+            parts.append(counted(outside_enum(df, column, allowed), name, "enum", (column,)))
+    return reduce(DataFrame.unionByName, parts).where("n_rows > 0")
+
+
 def several_current(versions: DataFrame, key: Sequence[str]) -> DataFrame:
     """Natural keys with more than one current version."""
     return duplicates(current(versions), key)

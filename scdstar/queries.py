@@ -9,7 +9,7 @@ import uuid
 from collections.abc import Callable, Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from scdstar.functions.columns import hours, whole_minutes
 from scdstar.operators import audit, lineage
@@ -25,7 +25,7 @@ from scdstar.plans.two_batches import two_batches
 from scdstar.schemas import WAREHOUSE_TABLES
 from scdstar.session import shared_folder, stage
 from scdstar.sources.reviews import cleanse_reviews, read_staged_reviews, write_reviews
-from scdstar.sources.testdata import LOAD_TS, raw_reviews, snapshot_table
+from scdstar.sources.testdata import LOAD_TS, raw_reviews, snapshot, snapshot_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -377,6 +377,26 @@ def audit_not_null(spark: SparkSession, folder: str) -> DataFrame:
     return audit.null_counts(flights, flights.columns)
 
 
+@query
+def audit_constraints(spark: SparkSession, folder: str) -> DataFrame:
+    """All declared constraints of a snapshot with rows that break each kind."""
+    tables, _ = snapshot(spark, folder, 2)
+    row = F.col("id")
+
+    def broken(column: str, every: int, value: Column) -> Column:
+        return F.when(row % every == 0, value).otherwise(F.col(column))
+
+    tables["pilots"] = tables["pilots"].unionByName(tables["pilots"].where(row % 3 == 0))
+    tables["customers"] = tables["customers"].withColumn(
+        "email", broken("email", 7, F.lit(None).cast("string")))
+    tables["airplanes"] = tables["airplanes"].withColumn(
+        "registration_number", broken("registration_number", 50, F.lit("REG-0")))
+    tables["flights"] = tables["flights"].withColumns(
+        {"airplane_id": broken("airplane_id", 11, F.lit(-1).cast("long")),
+         "status": broken("status", 13, F.lit("lost"))})
+    return audit.constraint_violations(tables)
+
+
 @query
 def audit_unique(spark: SparkSession, folder: str) -> DataFrame:
     lines = spark.read.parquet(f"{folder}/lineitem.parquet")

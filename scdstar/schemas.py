@@ -6,6 +6,8 @@ Every reader passes one of these schemas; nothing is inferred. Ids are
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, functions as F, types as T
 
 # The namespaces, source ids, open-version marker and flight
@@ -68,6 +70,43 @@ OPERATIONAL: dict[str, T.StructType] = {
     "flight_bookings": schema_of("id:long flight_id:long customer_id:long seat_number:string"),
 }
 
+
+
+@dataclass(frozen=True)
+class Constraints:
+    """What a table declares beyond its schema, whose columns are NOT NULL unless marked.
+
+    ``references`` maps a column to the table whose first key column it refers to,
+    ``enums`` a column to the values it may have.
+    """
+
+    key: tuple[str, ...] = ("id",)
+    unique: tuple[tuple[str, ...], ...] = ()
+    references: tuple[tuple[str, str], ...] = ()
+    enums: tuple[tuple[str, tuple[str, ...]], ...] = ()
+
+
+CONSTRAINTS: dict[str, Constraints] = {
+    "pilots": Constraints(),
+    "cabin_crew": Constraints(),
+    "customers": Constraints(),
+    "airports": Constraints(),
+    "airplanes": Constraints(unique=(("registration_number",),)),
+    "flights": Constraints(
+        references=(
+            ("departure_airport_id", "airports"), ("arrival_airport_id", "airports"),
+            ("pilot_id", "pilots"), ("copilot_id", "pilots"), ("airplane_id", "airplanes"),
+        ),
+        enums=(("status", FLIGHT_STATUSES),),
+    ),
+    "flight_cabin_crew": Constraints(
+        references=(("flight_id", "flights"), ("cabin_crew_id", "cabin_crew"))
+    ),
+    "flight_bookings": Constraints(
+        references=(("flight_id", "flights"), ("customer_id", "customers"))
+    ),
+}
+
 STAGED_REVIEWS = schema_of(
     "flight_id:long customer_id:long seat_class:string? content:string? rating:double?"
     " recommended:boolean? seat_comfort:int? cabin_staff_service:int?"

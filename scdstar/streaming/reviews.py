@@ -20,6 +20,36 @@ def utc_now() -> str:
     return datetime.now(UTC).strftime("%Y-%m-%d %H:%M:%S.%f")
 
 
+def load_every(
+    pipeline: Pipeline,
+    operational: Callable[[], Mapping[str, DataFrame]],
+    every: str = CADENCE,
+    checkpoint: str | None = None,
+    clock: Callable[[], str] = utc_now,
+) -> StreamingQuery:
+    """Load the operational tables every interval, whether or not review files arrive.
+
+    A rate source is the clock: its rows are not used. For an outside scheduler,
+    ``pipeline.run_batch(operational(), None, utc_now())`` is the same without a stream.
+    """
+    spark = pipeline.spark
+
+    def load(rows: DataFrame, epoch: int) -> None:
+        pipeline.run_batch(operational(), None, clock())
+
+    return (
+        spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+        .writeStream.queryName(f"timed_{pipeline.names.warehouse}")
+        .foreachBatch(load)
+        .option(
+            "checkpointLocation",
+            checkpoint or f"{shared_folder(spark)}/streams/timed_{pipeline.names.warehouse}",
+        )
+        .trigger(processingTime=every)
+        .start()
+    )
+
+
 def stream_reviews(
     pipeline: Pipeline,
     folder: str,

@@ -1,6 +1,7 @@
 """Initial load, batches and the review stream against the catalog."""
 
 import shutil
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from scdstar.sources import catalog
 from scdstar.sources.operational import read_catalog, read_parquet
 from scdstar.sources.reviews import write_reviews
 from scdstar.sources.testdata import LOAD_TS, snapshot
-from scdstar.streaming.reviews import stream_reviews
+from scdstar.streaming.reviews import load_every, stream_reviews
 
 from conftest import rows
 
@@ -152,6 +153,26 @@ def test_streams_close_nothing_for_being_absent(spark, small):
     assert reviews.where("update_id IS NOT NULL").count() == 0
 
 
+def test_tables_are_loaded_on_time_without_review_files(spark, small, tmp_path):
+    runner = Pipeline(spark, names("w"))
+    tables, reviews = snapshot(spark, small, 1)
+    runner.run_initial(tables, reviews.limit(0), LOAD_TS[1])
+    changed = snapshot(spark, small, 2)[0]["airports"]
+    query = load_every(runner, lambda: {"airports": changed}, "1 second", str(tmp_path / "timed"),
+                       lambda: LOAD_TS[2])
+    try:
+        for _ in range(240):
+            if runner.last_batch_id() > 1 or query.exception():
+                break
+            time.sleep(0.5)
+    finally:
+        query.stop()
+    assert query.exception() is None
+    airports = spark.table("w_warehouse.airports")
+    assert airports.where("insert_id = 2").count() == 5
+    reset(spark, runner.names)
+
+
 def test_namespace_ddl(spark):
     catalog.ensure_namespace(spark, "ddl_airline", OPERATIONAL)
     catalog.ensure_namespace(spark, "ddl_airline", OPERATIONAL)
