@@ -133,7 +133,7 @@ def features_of(text: str | None, codes: Codes) -> list[float]:
         for a, b in zip(edges[::2], edges[1::2]):
             if b - a >= 4:
                 word = "".join(t.strip(_EDGES) for t in tokens[a:b]).lower()
-                spaced += bool(codes._listed(word))
+                spaced += any(e.rstrip("*") in word for e in codes.strong)
     hits = np.flatnonzero(strong | weak)
     near = 0
     if len(hits) and second.any():
