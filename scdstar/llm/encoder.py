@@ -16,8 +16,8 @@ from functools import cache
 
 import numpy as np
 
-#: Units that a worker keeps; beyond that it starts anew.
-KEPT = 400_000
+#: Units that a worker keeps, and half the words without marks; beyond that it starts anew.
+KEPT = 600_000
 #: Trailing marks that form a piece of their own after a letter or digit.
 MARKS = ".,;:!?*#$%&|"
 
@@ -54,22 +54,25 @@ class Encoder:
         found = self.library.encode_batch_fast([text], add_special_tokens=False)[0]
         return np.array(found.ids, self.dtype).tobytes()
 
-    def _learn(self, missing: set[str]) -> None:
-        """Cache units, each as it reads after a space. Those with other white space at an
-        end are left out."""
+    def _learn(self, missing: set[str], wanted: set[str]) -> None:
+        """Cache ``missing`` units, each as it reads after a space. Those with other white
+        space at an end are left out. All ``wanted`` units are there afterwards."""
         if len(self.units) + len(missing) > KEPT:
-            self.units.clear()
-        if len(self.cores) > KEPT:
+            self.units = {u: self.units[u] for u in wanted if u in self.units}
+        if len(self.cores) > 2 * KEPT:
             self.cores.clear()
-        split, asked = [], set()
+        cores, split, asked = self.cores, [], set()
         for unit in missing:
-            if not unit or not _visible(unit[0]) or not _visible(unit[-1]):
-                continue
             core = unit.rstrip(MARKS)
-            if not core or not (core[-1].isalnum() and core[-1] <= "ɏ"):
+            last = core[-1:]
+            if not (last.isalnum() and last <= "ɏ"):  # a run of marks that must stay whole
                 core = unit
-            split.append((unit, core, unit[len(core):]))
-            if core not in self.cores:
+                if not unit or not _visible(unit[-1]):
+                    continue
+            if not ("!" <= unit[0] <= "~" or _visible(unit[0])):
+                continue
+            split.append((unit, core))
+            if core not in cores:
                 asked.add(core)
         listed = list(asked)
         for k in range(0, len(listed), 4096):
@@ -81,8 +84,10 @@ class Encoder:
             for core, cut in zip(part, (cuts * self.dtype.itemsize).tolist()):
                 self.cores[core] = raw[at:cut]
                 at = cut
-        for unit, core, tail in split:
-            self.units[unit] = self.cores[core] + (self._tail(tail) if tail else b"")
+        units = self.units
+        for unit, core in split:
+            ids = cores[core]
+            units[unit] = ids if len(core) == len(unit) else ids + self._tail(unit[len(core):])
 
     def _tail(self, marks: str) -> bytes:
         if marks not in self.tails:
@@ -97,25 +102,23 @@ class Encoder:
             return [np.frombuffer(self._whole(t), self.dtype) if t else np.empty(0, self.dtype)
                     for t in texts]
         split = [t.split(" ") if t else [""] for t in texts]
-        get, missing = self.units.get, set()
-        found = []
+        seen: set[str] = set()
         for units in split:
-            rest = list(map(get, units[1:]))
-            found.append(rest)
-            if None in rest:
-                missing.update(u for u, ids in zip(units[1:], rest) if ids is None)
-        if missing:
-            self._learn(missing)
-        out = []
-        for text, units, rest in zip(texts, split, found):
-            if None in rest:
-                rest = list(map(self.units.get, units[1:]))
-            if not text:
-                raw = b""
-            elif None in rest or (rest and not (units[0] and _visible(units[0][-1]))):
+            seen.update(units)
+        if missing := seen.difference(self.units):
+            self._learn(missing, seen)
+        get, out = self.units.get, []
+        for text, units in zip(texts, split):
+            first = units.pop(0)
+            if units and not (first and _visible(first[-1])):
                 raw = self._whole(text)
             else:
-                raw = (self._whole(units[0]) if units[0] else b"") + b"".join(rest)
+                try:
+                    raw = b"".join(map(get, units))
+                except TypeError:  # a unit that cannot stand for itself
+                    raw = self._whole(text)
+                else:
+                    raw = self._whole(first) + raw if first else raw
             out.append(np.frombuffer(raw, self.dtype))
         return out
 

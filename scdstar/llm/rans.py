@@ -24,7 +24,7 @@ import numpy as np
 #: Frequencies add up to 2 ** SCALE.
 SCALE = 20
 #: Steps between checkpoints, and lanes of a large block.
-STEPS, LANES = 256, 512
+STEPS, LANES = 256, 1024
 _HEAD = struct.Struct("<4sIIIQIII")
 _LOW = np.uint64(1 << 31)
 _U = np.uint64

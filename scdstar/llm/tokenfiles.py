@@ -3,7 +3,8 @@
 1. Documents are range-partitioned and sorted by ``doc_id`` (ties by a hash of the text).
 2. Each partition encodes its texts once and gathers the ids of whole documents into blocks of at
    least ``BLOCK`` ids. A block knows its partition, its number and the ids before it in
-   the partition. Blocks are written compressed, as the corpus must be counted first.
+   the partition, and how often each id occurs in it. Blocks are written compressed, as the
+   corpus must be counted first.
 3. Occurrences are summed by id over all blocks: a table of the vocabulary's size, which
    becomes the shared frequency table.
 4. Each block is coded by itself. The files are Parquet of ``(part, block, before, payload)``,
@@ -38,9 +39,12 @@ from scdstar.llm.shingles import arrow_batches
 from scdstar.session import shared_folder, stage
 
 #: Ids of a block, but for the document that fills it.
-BLOCK = 1 << 18
+BLOCK = 1 << 19
 
-_BLOCKS = "part int, block int, before bigint, docs array<bigint>, sizes array<bigint>, ids binary"
+_BLOCKS = (
+    "part int, block int, before bigint, docs array<bigint>, sizes array<bigint>, ids binary,"
+    " used array<int>, times array<int>"
+)
 
 
 def _blocks(definition, end_id: int):
@@ -54,14 +58,15 @@ def _blocks(definition, end_id: int):
 
         def block() -> pa.RecordBatch:
             nonlocal number, before, held
-            raw = zstandard.ZstdCompressor(level=1).compress(
-                np.concatenate(ids).astype("<u4").view("u1").reshape(-1, 4).T.tobytes()
-            )  # bytes of equal weight together, as the upper ones hardly vary
+            found = np.concatenate(ids)
+            times = np.bincount(found)
+            used = np.flatnonzero(times)
             row = pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([before]),
                  pa.array([docs], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int64())),
-                 pa.array([raw], pa.binary())],
-                ["part", "block", "before", "docs", "sizes", "ids"],
+                 pa.array([_packed(found)], pa.binary()), pa.array([used], pa.list_(pa.int32())),
+                 pa.array([times[used]], pa.list_(pa.int32()))],
+                ["part", "block", "before", "docs", "sizes", "ids", "used", "times"],
             )
             number, before, held = number + 1, before + held, 0
             docs.clear(), sizes.clear(), ids.clear()
@@ -82,23 +87,17 @@ def _blocks(definition, end_id: int):
     return run
 
 
-def _unpacked(raw: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), "u1")
-    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").reshape(-1)
+def _packed(ids: np.ndarray) -> bytes:
+    """Ids in a byte that says how wide they are and then bytes of equal weight together, as the
+    upper ones hardly vary."""
+    width = ids.dtype.itemsize
+    planes = np.ascontiguousarray(ids).view("u1").reshape(-1, width).T.tobytes()
+    return bytes([width]) + zstandard.ZstdCompressor(level=1).compress(planes)
 
 
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen = np.zeros(0, np.int64)
-    for batch in batches:
-        for raw in batch.column(0).to_pylist():
-            found = np.bincount(_unpacked(raw))
-            if len(found) > len(seen):
-                found[: len(seen)] += seen
-                seen = found
-            else:
-                seen[: len(found)] += found
-    used = np.flatnonzero(seen)
-    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(seen[used])], ["id", "n"])
+def _unpacked(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed[1:]), "u1")
+    return np.ascontiguousarray(planes.reshape(packed[0], -1).T).view(f"<u{packed[0]}").reshape(-1)
 
 
 def _coded(frequencies):
@@ -149,8 +148,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, end_id: int) -> N
     )
     blocks = stage(ordered.mapInArrow(_blocks(definition, end_id), _BLOCKS), "token-blocks")
     counted = (
-        blocks.select("ids").mapInArrow(_counts, "id bigint, n bigint")
-        .groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+        blocks.select(F.explode(F.arrays_zip("used", "times")).alias("x"))
+        .select(F.col("x.used").alias("id"), F.col("x.times").alias("n")).groupBy("id").agg(F.sum("n").alias("n")).toArrow()
     )  # a row for each id of the vocabulary
     counts = np.zeros(vocabulary, np.int64)
     counts[counted.column("id").to_numpy()] = counted.column("n").to_numpy()
@@ -159,7 +158,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, end_id: int) -> N
         "id", F.expr(f"element_at(array({','.join(map(str, frequencies.value))}), CAST(id + 1 AS INT))")
         .alias("frequency")
     ).write.parquet(f"{folder}/frequencies")
-    blocks.mapInArrow(_coded(frequencies), "part int, block int, before bigint, payload binary").write.parquet(
+    blocks.drop("used", "times").mapInArrow(_coded(frequencies), "part int, block int, before bigint, payload binary").write.parquet(
         f"{folder}/blocks"
     )
 
