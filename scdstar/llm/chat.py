@@ -26,6 +26,8 @@ messages has no conversation.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,34 +73,34 @@ def paths(nodes: DataFrame, branches: int | None = 1) -> DataFrame:
     )
     there = nodes.select("tree", F.col("node").alias("parent")).distinct()
     known = nodes.join(there.withColumn("found", F.lit(True)), ["tree", "parent"], "left")
-    up = stage(
+    first = stage(
         known.groupBy("tree", "node").agg(
-            F.min(F.when(F.col("found"), F.col("parent"))).alias("up"), F.sum("score").alias("score")
+            F.min(F.when(F.col("found"), F.col("parent"))).alias("up"), F.sum("score").alias("total")
         ).withColumn("steps", F.when(F.col("up").isNull(), 0).otherwise(1).cast("long"))
-        .withColumn("total", F.col("score")).withColumn("root", F.when(F.col("up").isNull(), F.col("node"))),
+        .withColumn("root", F.when(F.col("up").isNull(), F.col("node"))),
         "tree-up-0",
     )
-    leaves = up.join(
-        up.filter("up IS NOT NULL").select("tree", F.col("up").alias("node")).distinct(),
-        ["tree", "node"], "left_anti",
-    ).select("tree", "node")
-    levels = [up]
-    nodes_in_all = up.count()
-    while not up.filter("up IS NOT NULL").isEmpty() and 1 << len(levels) <= 2 * nodes_in_all:
-        above = up.select("tree", F.col("node").alias("up"), F.col("up").alias("up2"),
-                          F.col("steps").alias("steps2"), F.col("total").alias("total2"),
-                          F.col("root").alias("root2"))
-        up = stage(
-            up.join(above, ["tree", "up"], "left").select(
-                "tree", "node", F.col("up2").alias("up"),
-                (F.col("steps") + F.coalesce("steps2", F.lit(0))).alias("steps"),
-                (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total"),
-                F.coalesce("root", "root2").alias("root"),
+    inner = first.filter("up IS NOT NULL").select("tree", F.col("up").alias("node")).distinct()
+    leaves = first.join(inner, ["tree", "node"], "left_anti").select("tree", "node")
+    # Nodes that have met their root are done; only the others go on to the next round.
+    done, going = [first.filter("up IS NULL")], first.filter("up IS NOT NULL")
+    levels, n_nodes = [going.select("tree", "node", "up")], first.count()
+    while not going.isEmpty() and 1 << len(levels) <= 2 * n_nodes:
+        above = reduce(DataFrame.unionByName, [*done, going]).select(
+            "tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("steps").alias("steps2"),
+            F.col("total").alias("total2"), F.col("root").alias("root2"),
+        )
+        step = stage(
+            going.join(above, ["tree", "up"]).select(
+                "tree", "node", F.col("up2").alias("up"), (F.col("total") + F.col("total2")).alias("total"),
+                (F.col("steps") + F.col("steps2")).alias("steps"), F.col("root2").alias("root"),
             ),
             f"tree-up-{len(levels)}",
         )
-        levels.append(up)
-    ends = up.filter("root IS NOT NULL AND up IS NULL").join(leaves, ["tree", "node"]).select(
+        done.append(step.filter("up IS NULL"))
+        going = step.filter("up IS NOT NULL")
+        levels.append(going.select("tree", "node", "up"))
+    ends = reduce(DataFrame.unionByName, done).join(leaves, ["tree", "node"]).select(
         "tree", "root", F.col("node").alias("leaf"), "steps",
         (F.col("total") / (F.col("steps") + 1)).alias("mean"),
     )
@@ -111,9 +113,8 @@ def paths(nodes: DataFrame, branches: int | None = 1) -> DataFrame:
             )).filter(F.col("rank") <= branches)
     taken = ends.select("tree", "leaf", F.col("leaf").alias("node"), F.col("steps").alias("place"))
     for k in range(len(levels) - 1, -1, -1):
-        step = levels[k].filter("up IS NOT NULL").select("tree", "node", "up")
         taken = taken.unionByName(
-            taken.join(step, ["tree", "node"]).select(
+            taken.join(levels[k], ["tree", "node"]).select(
                 "tree", "leaf", F.col("up").alias("node"), (F.col("place") - (1 << k)).alias("place")
             )
         )
