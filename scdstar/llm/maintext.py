@@ -1,21 +1,24 @@
 """HTML extraction by line-block distribution.
 
 1. **Strip markup.** A page becomes lines: block elements end a line; comments, scripts,
-   styles and the head go; menus, headers, footers, asides, forms and elements whose class,
-   id or role names boilerplate become ``WINDOW`` empty lines.
-2. **Distribution.** A line weighs its characters outside links. Lines inside
-   ``article`` or ``main``, where a page has them with text, weigh at least ``SURGE``; the others of
-   such a page weigh nothing. Weights are added over windows of ``WINDOW`` lines.
+   styles and the head go, and so do menus, headers, footers, asides, hidden elements, forms and
+   elements whose class, id or role names boilerplate.
+2. **Distribution.** A line weighs its characters outside links. Weights are added over windows
+   of ``WINDOW`` lines.
+   What is dropped and the bounds of an ``article`` or ``main`` stand as ``WINDOW`` empty lines.
 3. **Surge and dive.** A region starts with the first line of a window that rises over ``SURGE``,
-   and ends where a window falls to zero. All regions in an article are kept; of
-   other pages the heaviest, and those at least ``RIVAL`` times as heavy.
+   and ends where a window falls to zero. The heaviest stays, and those at least ``RIVAL`` times
+   as heavy. Text in an ``article`` or ``main`` counts ``FAVOUR`` times for surges and for
+   which is the heaviest; it takes nothing from the lines outside.
+4. **Container.** With the heaviest region stays all of its ``main``, or its ``article`` and the
+   articles beside that.
 
 Kept lines have character references decoded, white space turned into single spaces, and are
 joined by newlines in page order. Nothing is cut to a length.
 
 Malformed pages: an unclosed comment or script runs to the end, an end tag closes what is
 open inside its element or is ignored, a paragraph ends where the next block starts, and an
-article that starts inside boilerplate ends that boilerplate.
+article that starts inside a menu, a header or a control ends that.
 
 Defined results: a null or empty html gives an empty text, as does a page in which no window
 surges, unless it has any text outside boilerplate: then all of that. Rows stay as many as they
@@ -26,7 +29,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,6 +38,8 @@ from scdstar.llm.shingles import arrow_batches
 
 #: Lines to a window, characters that make a surge, share of the heaviest region.
 WINDOW, SURGE, RIVAL = 3, 80, 0.3
+#: How often text in an article counts, and characters to a control of a form that is text.
+FAVOUR, CONTROL = 2, 60
 
 #: What a page's markup consists of: raw elements whole, then comments, tags, declarations.
 _MARKUP = re.compile(
@@ -53,69 +58,110 @@ _BLOCKS = frozenset(
     " nav ol option p pre search section select summary table tbody td tfoot th thead tr ul".split()
 )
 _DROPPED = frozenset(
-    "head nav header footer aside form button select menu dialog audio video canvas map fieldset"
+    "head nav header footer aside button select menu dialog audio video canvas map"
     " search option datalist".split()
 )
-#: Words in a class, id or role that mark boilerplate.
-_BOILERPLATE = frozenset(
-    "ad ads advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment"
-    " comments commentlist complementary contentinfo cookie cookies consent copyright disclaimer"
-    " disqus discussion footer form gdpr header login masthead menu menubar modal nav navbar"
-    " navigation newsletter notice notification pagination paywall popup promo promotion recommended"
-    " related replies respond search share sharing sidebar signup skip social sponsor sponsored"
-    " subscribe tags toolbar widget".split()
+_FORMS = frozenset(("form", "fieldset"))
+#: Words in a class, id or role that mark boilerplate, but that wrappers of a page have as well.
+_LOOSE = frozenset(
+    "banner footer form header login masthead menu menubar modal nav navbar navigation newsletter"
+    " notice notification pagination popup search share sharing sidebar signup skip social subscribe"
+    " tags toolbar widget".split()
+)
+#: Words that mark boilerplate however long it is.
+_FIRM = frozenset(
+    "ad ads advert adverts advertisement advertising adsense breadcrumb breadcrumbs comment comments"
+    " commentlist complementary contentinfo cookie cookies consent copyright disclaimer disqus"
+    " discussion gdpr paywall promo promotion recommended related replies respond sponsor"
+    " sponsored".split()
 )
 _MAIN = frozenset(("article", "main"))
+_CONTROLS = frozenset("input button select textarea option label".split())
 _OWN_CLOSE = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",),
               "td": ("tr",), "th": ("tr",), "option": ("select",)}
 
 
-def _boilerplate(tag: str, attributes: str) -> bool:
+#: Why an element may be dropped: not, by what it is, by a word of either kind or as a form, hidden.
+STAYS, ALWAYS, FIRM, LOOSE, HIDDEN = range(5)
+
+
+def _words(tag: str, attributes: str) -> Iterator[str]:
+    """Words of the classes, ids and roles."""
+    for found in _NAMES.findall(attributes):
+        for name in "".join(found).split():
+            words = re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", name).lower())
+            yield from words
+
+
+def _boilerplate(tag: str, attributes: str) -> tuple[int, bool]:
+    """Why an element may have to go, and whether that leaves a gap."""
     if tag in _DROPPED:
-        return True
-    if not attributes or tag in ("html", "body") or tag in _MAIN:
-        return False
-    if _HIDDEN.search(attributes):
-        return True
-    return any(
-        word in _BOILERPLATE
-        for found in _NAMES.findall(attributes)
-        for word in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", "".join(found)).lower())
-    )
+        return ALWAYS, True
+    kind = LOOSE if tag in _FORMS else STAYS
+    if not attributes or tag in ("html", "body"):
+        return kind, kind != STAYS
+    if tag not in _MAIN and _HIDDEN.search(attributes):
+        return HIDDEN, True
+    for word in _words(tag, attributes):
+        if word in _FIRM or word in _LOOSE:
+            kind = FIRM if word in _FIRM or kind == FIRM else LOOSE
+    return kind, kind != STAYS
+
+
+class _Node:
+    """A block or a possibly dropped element."""
+
+    __slots__ = ("tag", "up", "kind", "gap", "plain", "linked", "controls", "heads", "lines",
+                 "sheltered", "inside", "kept", "dropped", "article", "main", "held", "part")
+
+    def __init__(self, tag: str, up: int, kind: int = STAYS, gap: bool = False) -> None:
+        self.tag, self.up, self.kind, self.gap = tag, up, kind, gap
+        self.plain = self.linked = self.controls = self.heads = self.lines = self.part = 0
+        #: Characters in articles, and whether one is around; those of the wrapper around.
+        self.sheltered, self.inside, self.kept = 0, False, 0
+        self.dropped = False
+        #: The outermost article and main; or -1.
+        self.article = self.main = -1
 
 
 class _Lines:
-    """The lines of a page: text, weight, and whether an article holds them."""
+    """The lines of a page, each with its weight and node, and the tree of nodes."""
 
     def __init__(self) -> None:
-        self.done: list[tuple[str, int, bool]] = []
+        #: Text, weight, node; a text of None is where a gap may be.
+        self.done: list[tuple[str | None, int, int]] = []
         self.held: list[str] = []
         self.linked = 0
-        #: Open elements, each with what holds inside it: dropped, in an article, in a link.
-        self.open: list[tuple[str, bool, bool, bool]] = []
-        self.dropping = self.inside = self.link = False
+        self.nodes = [_Node("", -1)]
+        #: Open elements, each with its node or the one it lies in, and whether a link holds it.
+        self.open: list[tuple[str, int, bool]] = []
+        self.at, self.link = 0, False
 
     def flush(self) -> None:
         text = " ".join("".join(self.held).split())
         if text:
-            self.done.append((text, max(len(text) - self.linked, 0), self.inside))
+            weight, node = max(len(text) - self.linked, 0), self.nodes[self.at]
+            self.done.append((text, weight, self.at))
+            node.plain += weight
+            node.linked += len(text) - weight
+            node.heads += node.tag == "h1"
         self.held, self.linked = [], 0
 
     def text(self, raw: str) -> None:
-        if raw and not self.dropping:
+        if raw:
             found = html.unescape(raw)
             self.held.append(found)
             if self.link:
                 self.linked += len(" ".join(found.split()))
 
     def _pop(self, at: int) -> None:
-        was = self.dropping
-        if any(element[0] in _BLOCKS for element in self.open[at:]):
+        if any(e[0] in _BLOCKS or self.nodes[e[1]].kind and self.nodes[e[1]].tag == e[0] for e in self.open[at:]):
             self.flush()
+        for _, k, _ in reversed(self.open[at:]):
+            if self.nodes[k].gap:
+                self.done.append((None, 0, k))
         del self.open[at:]
-        self.dropping, self.inside, self.link = self.open[-1][1:] if self.open else (False,) * 3
-        if was and not self.dropping:
-            self.done.extend([("", 0, False)] * WINDOW)
+        self.at, self.link = self.open[-1][1:] if self.open else (0, False)
 
     def _find(self, tag: str, barriers: tuple[str, ...] = ()) -> int | None:
         for k in range(len(self.open) - 1, -1, -1):
@@ -134,14 +180,26 @@ class _Lines:
             self._pop(at)
         if tag == "br":
             self.text(" ")
+        if tag in _CONTROLS and not re.search(r"type\s*=\s*[\"']?hidden", attributes, re.I):
+            self.nodes[self.at].controls += 1
         if tag in _VOID:
             return
-        boilerplate, article = _boilerplate(tag, attributes), tag in _MAIN
-        if boilerplate and not self.dropping:
+        if tag in _MAIN:  # these hold none, so their end tag is missing
+            for k, (name, _, _) in enumerate(self.open):
+                if name in ("nav", "menu", "header", "button", "select"):
+                    self._pop(k)
+                    break
+        kind, gap = _boilerplate(tag, attributes)
+        if kind:
             self.flush()
-        self.dropping = self.dropping and not article or boilerplate
-        self.inside, self.link = self.inside or article, self.link or tag == "a"
-        self.open.append((tag, self.dropping, self.inside, self.link))
+        if kind or tag in _BLOCKS:
+            self.nodes.append(_Node(tag, self.at, kind, gap or tag in _MAIN))
+            self.at = len(self.nodes) - 1
+            self.nodes[self.at].heads += tag == "main"
+            if tag in _MAIN:
+                self.done.append((None, 0, self.at))
+        self.link = self.link or tag == "a"
+        self.open.append((tag, self.at, self.link))
 
     def end(self, tag: str) -> None:
         at = self._find(tag)
@@ -151,6 +209,58 @@ class _Lines:
         else:
             self._pop(at)
 
+    def _drop(self, stays: Callable[[_Node], bool], freed: frozenset[str] = frozenset()) -> bool:
+        """Mark nodes as dropped unless they stay, and what is around them stays or they
+        are of the ``freed`` tags; whether a line is left."""
+        for node in self.nodes[1:]:
+            up = self.nodes[node.up]
+            node.kept, node.dropped = up.kept, up.dropped and node.tag not in freed
+            if node.kind and not node.dropped:
+                if stays(node) and 2 * node.plain > up.kept:
+                    node.kept = node.plain
+                else:
+                    node.dropped = True
+        return any(text and not self.nodes[k].dropped for text, _, k in self.done)
+
+    def judge(self) -> None:
+        """Tell boilerplate, in which an article stays only if nothing else is left."""
+        if not self._drop(lambda n: False):
+            self._drop(lambda n: False, _MAIN)
+
+    def rows(self) -> list[tuple[str, int, int]]:
+        """Lines that are left, with empty ones for gaps."""
+        out = []
+        for text, weight, k in self.done:
+            node = self.nodes[k]
+            if text is None:
+                if not self.nodes[node.up].dropped and (node.dropped or node.tag in _MAIN):
+                    out += [("", 0, 0)] * WINDOW
+            elif not node.dropped:
+                out.append((text, weight, k))
+        return out
+
+    def place(self) -> None:
+        """Tell each node its article and main."""
+        nodes = self.nodes
+        for k, node in enumerate(nodes[1:], 1):
+            up = nodes[node.up]
+            node.article = k if up.article < 0 and node.tag == "article" else up.article
+            node.main = k if up.main < 0 and node.tag == "main" else up.main
+
+
+def _beside(lines: _Lines, rows: list[tuple[str, int, int]], region: tuple[int, int]) -> set[int]:
+    """Rows that share the container of a region."""
+    nodes, first = lines.nodes, lines.nodes[rows[region[0]][2]]
+    if first.main >= 0:
+        return {i for i, (text, _, k) in enumerate(rows) if text and nodes[k].main == first.main}
+    if first.article >= 0:
+        up = nodes[first.article].up
+        return {
+            i for i, (text, _, k) in enumerate(rows)
+            if text and nodes[k].article >= 0 and nodes[nodes[k].article].up == up
+        }
+    return set()
+
 
 def _regions(weights: list[int]) -> list[tuple[int, int]]:
     """Half-open ranges of lines between a surge and the dive after it."""
@@ -182,20 +292,23 @@ def main_text(page: str | None) -> str:
             lines.start(tag, m["attributes"])
     lines.text(page[at:])
     lines.flush()
-    rows = lines.done
-    sure = any(inside and text for text, _, inside in rows)
-    if sure:
-        weights = [max(w, SURGE + 1) if inside and text else 0 for text, w, inside in rows]
-    else:
-        weights = [w for _, w, _ in rows]
-    regions = _regions(weights)
+    lines.judge()
+    rows = lines.rows()
+    lines.place()
+    nodes = lines.nodes
+    favoured = [
+        w * FAVOUR if nodes[k].article >= 0 or nodes[k].main >= 0 else w for _, w, k in rows
+    ]
+    regions = _regions(favoured)
     if not regions:
         return "\n".join(text for text, _, _ in rows if text)
-    heavy = [sum(weights[a:b]) for a, b in regions]
-    kept = [r for r, w in zip(regions, heavy) if sure or w >= RIVAL * max(heavy)]
-    return "\n".join(
-        text for a, b in kept for text, w, inside in rows[a:b] if text and (inside or not sure)
-    )
+    heaviest = max(regions, key=lambda r: sum(favoured[slice(*r)]))
+    least = RIVAL * sum(w for _, w, _ in rows[slice(*heaviest)])
+    kept = _beside(lines, rows, heaviest)
+    for a, b in regions:
+        if (a, b) == heaviest or sum(w for _, w, _ in rows[a:b]) >= least:
+            kept.update(range(a, b))
+    return "\n".join(rows[i][0] for i in sorted(kept) if rows[i][0])
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
