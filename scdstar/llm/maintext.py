@@ -4,14 +4,16 @@
    styles and the head go, and so do menus, headers, footers, asides, hidden elements, forms and
    elements whose class, id or role names boilerplate.
 2. **Distribution.** A line weighs its characters outside links. Weights are added over windows
-   of ``WINDOW`` lines.
-   What is dropped and the bounds of an ``article`` or ``main`` stand as ``WINDOW`` empty lines.
+   of ``WINDOW`` lines. Page furniture and the bounds of an ``article`` or ``main`` stand as
+   ``WINDOW`` empty lines; adverts, forms and the like within a text leave no gap.
 3. **Surge and dive.** A region starts with the first line of a window that rises over ``SURGE``,
    and ends where a window falls to zero. The heaviest stays, and those at least ``RIVAL`` times
    as heavy. Text in an ``article`` or ``main`` counts ``FAVOUR`` times for surges and for
    which is the heaviest; it takes nothing from the lines outside.
-4. **Container.** With the heaviest region stays all of its ``main``, or its ``article`` and the
-   articles beside that.
+4. **Container.** With the heaviest region stays what shares its container: all of its ``main``, or
+   its ``article`` and the articles beside that; elsewhere the lines with text outside links of the
+   innermost element that holds most of the region, but for articles inside. Of the body itself,
+   those are the lines that no other element holds.
 
 Kept lines have character references decoded, white space turned into single spaces, and are
 joined by newlines in page order. Nothing is cut to a length.
@@ -75,8 +77,17 @@ _FIRM = frozenset(
     " discussion gdpr paywall promo promotion recommended related replies respond sponsor"
     " sponsored".split()
 )
+#: What stands inside a text, so that its removal leaves no gap.
+_INLINE = frozenset(
+    "form fieldset aside button select audio video canvas map option datalist dialog"
+    " ad ads advert adverts advertisement advertising adsense banner login newsletter notice"
+    " notification pagination paywall popup promo promotion recommended related share sharing signup"
+    " social sponsor sponsored subscribe tags toolbar widget".split()
+)
 _MAIN = frozenset(("article", "main"))
 _CONTROLS = frozenset("input button select textarea option label".split())
+#: Elements that can hold a whole text.
+_HOLDERS = frozenset("html body div section article main form fieldset center td details".split())
 _OWN_CLOSE = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",),
               "td": ("tr",), "th": ("tr",), "option": ("select",)}
 
@@ -96,16 +107,17 @@ def _words(tag: str, attributes: str) -> Iterator[str]:
 def _boilerplate(tag: str, attributes: str) -> tuple[int, bool]:
     """Why an element may have to go, and whether that leaves a gap."""
     if tag in _DROPPED:
-        return ALWAYS, True
-    kind = LOOSE if tag in _FORMS else STAYS
+        return ALWAYS, tag not in _INLINE
+    kind, gap = (LOOSE, False) if tag in _FORMS else (STAYS, False)
     if not attributes or tag in ("html", "body"):
-        return kind, kind != STAYS
+        return kind, gap
     if tag not in _MAIN and _HIDDEN.search(attributes):
-        return HIDDEN, True
+        return HIDDEN, False
     for word in _words(tag, attributes):
         if word in _FIRM or word in _LOOSE:
+            gap = gap or word not in _INLINE
             kind = FIRM if word in _FIRM or kind == FIRM else LOOSE
-    return kind, kind != STAYS
+    return kind, gap
 
 
 class _Node:
@@ -120,8 +132,8 @@ class _Node:
         #: Characters in articles, and whether one is around; those of the wrapper around.
         self.sheltered, self.inside, self.kept = 0, False, 0
         self.dropped = False
-        #: The outermost article and main; or -1.
-        self.article = self.main = -1
+        #: The outermost article and main, and the innermost holder of several lines; or -1.
+        self.article = self.main = self.held = -1
 
 
 class _Lines:
@@ -239,13 +251,19 @@ class _Lines:
                 out.append((text, weight, k))
         return out
 
-    def place(self) -> None:
-        """Tell each node its article and main."""
+    def place(self, rows: list[tuple[str, int, int]]) -> None:
+        """Tell each node its article, main and holder."""
         nodes = self.nodes
+        for text, _, k in rows:
+            nodes[k].lines += text != ""
+        for node in reversed(nodes[1:]):
+            nodes[node.up].lines += node.lines
+        nodes[0].held = 0
         for k, node in enumerate(nodes[1:], 1):
             up = nodes[node.up]
             node.article = k if up.article < 0 and node.tag == "article" else up.article
             node.main = k if up.main < 0 and node.tag == "main" else up.main
+            node.held = k if node.tag in _HOLDERS and node.lines > 1 else up.held
 
 
 def _beside(lines: _Lines, rows: list[tuple[str, int, int]], region: tuple[int, int]) -> set[int]:
@@ -259,7 +277,28 @@ def _beside(lines: _Lines, rows: list[tuple[str, int, int]], region: tuple[int,
             i for i, (text, _, k) in enumerate(rows)
             if text and nodes[k].article >= 0 and nodes[nodes[k].article].up == up
         }
-    return set()
+    for text, weight, k in rows[slice(*region)]:
+        nodes[k].part += weight
+    for node in reversed(nodes[1:]):
+        nodes[node.up].part += node.part
+    held = max((k for k, n in enumerate(nodes) if n.held == k and 2 * n.part > nodes[0].part), default=0)
+    whole = nodes[held].tag not in ("", "html", "body")
+    within = [False] * len(nodes)
+    for k, node in enumerate(nodes):
+        within[k] = node.held == held or whole and (k == held or k > 0 and within[node.up])
+    out: set[int] = set()
+    linked: list[int] = []
+    for i, (text, weight, k) in enumerate(rows):
+        if not text or not within[k] or nodes[k].article >= 0 or nodes[k].main >= 0:
+            continue
+        if weight:
+            out.add(i)
+            if 0 < len(linked) < WINDOW and len(out) > 1:
+                out.update(linked)
+            linked = []
+        else:
+            linked.append(i)
+    return out
 
 
 def _regions(weights: list[int]) -> list[tuple[int, int]]:
@@ -294,7 +333,7 @@ def main_text(page: str | None) -> str:
     lines.flush()
     lines.judge()
     rows = lines.rows()
-    lines.place()
+    lines.place(rows)
     nodes = lines.nodes
     favoured = [
         w * FAVOUR if nodes[k].article >= 0 or nodes[k].main >= 0 else w for _, w, k in rows

@@ -32,3 +32,18 @@ LINKS = "<ul>" + "".join(f"<li><a href=x>link {k}</a></li>" for k in range(5)) +
 )
 def test_articles_are_judged_and_take_nothing_from_others(page, text):
     assert main_text(page) == text
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<div id=content>{BODY}<div class=ad>Buy</div><p>{words(200, 'd')}</p></div>", f"{TEXT}\n{words(200, 'd')}"),
+        (f"<body>{BODY}<form>Ask<input></form><p>Short.</p></body>", f"{TEXT}\nShort."),
+        (f"<div id=content><p>Lead.</p>{LINKS}{BODY}{LINKS}<ul><li>a<li>b</ul></div>", f"Lead.\n{TEXT}\na\nb"),
+        (f"<div id=content>{BODY}<nav>{LINKS}</nav><section><h2>End</h2><p>{words(200, 'd')}</p></section></div>"
+         f"<footer>f</footer><div>{words(60, 'x')}</div>", f"{TEXT}\nEnd\n{words(200, 'd')}"),
+        (f"<div id=content>{BODY}{CARDS}</div>", TEXT),
+    ],
+)
+def test_what_shares_the_container_stays(page, text):
+    assert main_text(page) == text
