@@ -2,7 +2,12 @@
 
 1. **Strip markup.** A page becomes lines: block elements end a line; comments, scripts,
    styles and the head go, and so do menus, headers, footers, asides, hidden elements, forms and
-   elements whose class, id or role names boilerplate.
+   elements whose class, id or role names boilerplate (compounds such as ``with-sidebar`` or
+   ``share-enabled`` name a state, not the element). A form or an element with a name is taken
+   for a wrapper, and stays, if it holds most of the page's text and all of its articles, and is
+   rich neither in links nor in controls; names of what can be long, such as comments or adverts,
+   only with a ``main`` or ``h1`` inside. If too little is left to surge, wrappers that hold more
+   than that together stay; if nothing is left, whatever holds text, but for menus and the like.
 2. **Distribution.** A line weighs its characters outside links. Weights are added over windows
    of ``WINDOW`` lines. Page furniture and the bounds of an ``article`` or ``main`` stand as
    ``WINDOW`` empty lines; adverts, forms and the like within a text leave no gap.
@@ -77,6 +82,10 @@ _FIRM = frozenset(
     " discussion gdpr paywall promo promotion recommended related replies respond sponsor"
     " sponsored".split()
 )
+#: First and last words of compounds that name a state or a subject.
+_STATE_FIRST = frozenset("with without no not has have hide".split())
+_STATE_LAST = frozenset("enabled disabled open opened closed on off".split())
+_SUBJECT_FIRST = frozenset(("tag", "category"))
 #: What stands inside a text, so that its removal leaves no gap.
 _INLINE = frozenset(
     "form fieldset aside button select audio video canvas map option datalist dialog"
@@ -97,10 +106,16 @@ STAYS, ALWAYS, FIRM, LOOSE, HIDDEN = range(5)
 
 
 def _words(tag: str, attributes: str) -> Iterator[str]:
-    """Words of the classes, ids and roles."""
+    """Words of the classes, ids and roles, without compounds that name a state, or for an
+    article its subject."""
     for found in _NAMES.findall(attributes):
         for name in "".join(found).split():
             words = re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", name).lower())
+            words = [w for w in words if w]
+            if len(words) > 1 and (words[0] in _STATE_FIRST or words[-1] in _STATE_LAST):
+                continue
+            if len(words) > 1 and tag in _MAIN and words[0] in _SUBJECT_FIRST:
+                continue
             yield from words
 
 
@@ -235,9 +250,49 @@ class _Lines:
         return any(text and not self.nodes[k].dropped for text, _, k in self.done)
 
     def judge(self) -> None:
-        """Tell boilerplate, in which an article stays only if nothing else is left."""
-        if not self._drop(lambda n: False):
-            self._drop(lambda n: False, _MAIN)
+        """Tell wrappers from boilerplate, with what nodes hold."""
+        nodes = self.nodes
+        for node in nodes[1:]:
+            node.inside = node.tag in _MAIN or nodes[node.up].inside
+        for node in reversed(nodes[1:]):  # what a node holds comes after it
+            if node.tag in _MAIN:
+                node.sheltered = node.plain
+            if node.kind in (ALWAYS, HIDDEN) or node.kind == FIRM and not node.heads:
+                continue
+            up = nodes[node.up]
+            up.plain += node.plain
+            up.linked += node.linked
+            up.controls += node.controls
+            up.heads += node.heads
+            up.sheltered += node.sheltered
+        total, sheltered = nodes[0].plain, nodes[0].sheltered
+
+        def texts(node: _Node) -> bool:
+            return 0 < node.plain >= max(node.linked, CONTROL * node.controls)
+
+        def wraps(node: _Node) -> bool:
+            return (
+                (node.kind == LOOSE or node.kind == FIRM and node.heads > 0)
+                and node.plain > SURGE and 2 * node.plain > total and texts(node)
+                and (node.inside or node.sheltered == sheltered)
+            )
+
+        def loose(node: _Node) -> bool:
+            return node.kind == LOOSE and texts(node)
+
+        if self._drop(wraps):
+            left = [(w, nodes[k]) for text, w, k in self.done if text and not nodes[k].dropped]
+            few = sum(w for w, _ in left)
+            if few > SURGE or total - few <= SURGE or any(n.inside for _, n in left):
+                return
+            self._drop(loose)
+        elif not (
+            self._drop(loose)
+            or self._drop(lambda n: n.kind in (FIRM, LOOSE) and texts(n))
+            or self._drop(lambda n: n.kind in (FIRM, LOOSE) and n.plain > 0)
+            or self._drop(lambda n: False, _MAIN)
+        ):
+            self._drop(lambda n: n.kind == HIDDEN and texts(n))
 
     def rows(self) -> list[tuple[str, int, int]]:
         """Lines that are left, with empty ones for gaps."""

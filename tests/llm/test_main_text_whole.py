@@ -47,3 +47,27 @@ def test_articles_are_judged_and_take_nothing_from_others(page, text):
 )
 def test_what_shares_the_container_stays(page, text):
     assert main_text(page) == text
+
+
+@pytest.mark.parametrize(
+    "wrapper",
+    [
+        "<div id=page class='layout with-sidebar'>", "<div class='no-sidebar'>", "<div class='post share-enabled'>",
+        "<div class='search-results'>", "<form id=aspnetForm><input type=hidden><input name=q>",
+        "<div class='layout sidebar'>", "<div style='display:none'>",
+    ],
+)
+def test_wrappers_keep_the_body_but_not_what_is_in_them(wrapper):
+    inside = f"<nav>Menu</nav>{BODY}<div class=comments><p>{words(2000, 'z')}</p></div><div class=sidebar>{words(100, 's')}</div>"
+    assert main_text(f"<body>{wrapper}{inside}</body>") == TEXT
+
+
+def test_named_parts_go_unless_nothing_else_is_left():
+    form = f"<form><label>Name</label><input><label>Mail</label><input>{words(200, 'f')}</form>"
+    assert main_text(f"<div>{BODY}</div>{form}") == TEXT
+    assert main_text(f"<article>Brief.</article><div class=newsletter>{words(200, 'n')}</div>") == "Brief."
+    assert main_text(f"<h1>T</h1><p>Brief.</p><div id=comments>{words(900, 'z')}</div>") == "T\nBrief."
+    posts = [words(300, c) for c in "abcd"]
+    assert main_text("<h1>Blog</h1>" + "".join(f"<div class='post share'>{p}</div>" for p in posts)) == "\n".join(["Blog", *posts])
+    assert main_text(f"<div class=cookie-text>{words(50, 'c')}</div>") == words(50, "c")
+    assert main_text("<nav>Menu</nav>") == ""
