@@ -3,9 +3,10 @@
 A byte-level tokenizer splits text before it merges, and a single space between two
 visible characters always starts a new piece. So a text's ids are those of its
 space-separated units, one after another; units come from a bounded cache, and what is
-missing is encoded by the library many units at a time. Texts with any other space, and
-tokenizers of any other kind, go to the library whole. The ids are the library's either
-way, which tests hold against encoding whole texts.
+missing is encoded by the library many units at a time. Texts with any other space or
+with the string of an added token, and tokenizers of any other kind, go to the library whole.
+The ids are the library's either way, with its own defaults: such a string in a text becomes
+the added token. Tests hold them against whole texts that the library alone encodes.
 """
 
 from __future__ import annotations
@@ -33,19 +34,24 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(definition)
-        self.library.encode_special_tokens = True  # their strings in a text are plain text
         parts = json.loads(definition)
         vocabulary = self.library.get_vocab()
         self.dtype = np.dtype("<u2" if max(vocabulary.values(), default=0) < 1 << 16 else "<u4")
         before = parts.get("pre_tokenizer") or {}
+        added = parts.get("added_tokens") or []
+        #: Strings that the library looks for before it splits a text.
+        self.added = [token["content"] for token in added if token["content"]]
         self.byte_level = (
             not parts.get("normalizer") and before.get("type") == "ByteLevel"
             and not before.get("add_prefix_space") and before.get("use_regex", True)
+            and not any(" " in t["content"] or t.get("lstrip") or t.get("rstrip") for t in added)
         )
         #: Bytes of each id; a character of a byte-level token stands for one byte.
         self.width = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
         for token, k in vocabulary.items():
             self.width[k] = len(token)
+        for token in added:
+            self.width[token["id"]] = len(token["content"].encode())
         self.units: dict[str, bytes] = {}
         self.cores: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {}
@@ -101,16 +107,18 @@ class Encoder:
         if not self.byte_level:
             return [np.frombuffer(self._whole(t), self.dtype) if t else np.empty(0, self.dtype)
                     for t in texts]
+        added = [t and any(a in t for a in self.added) for t in texts]
         split = [t.split(" ") if t else [""] for t in texts]
         seen: set[str] = set()
-        for units in split:
-            seen.update(units)
+        for units, marked in zip(split, added):
+            if not marked:
+                seen.update(units)
         if missing := seen.difference(self.units):
             self._learn(missing, seen)
         get, out = self.units.get, []
-        for text, units in zip(texts, split):
+        for text, units, marked in zip(texts, split, added):
             first = units.pop(0)
-            if units and not (first and _visible(first[-1])):
+            if marked or units and not (first and _visible(first[-1])):
                 raw = self._whole(text)
             else:
                 try:
