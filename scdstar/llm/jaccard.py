@@ -217,7 +217,7 @@ def jaccard_classes(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFr
         .select(F.col("class_id").alias("id"), "n", "prefix", F.col("parts").alias("x")),
         "jaccard-representatives",
     )
-    parts_of = classes.select("id", "x", "n").dropDuplicates(["id", "n"])
+    parts_of = classes.select("id", "x", "n").distinct()  # an id with several texts has each
     listed = classes.select("id", "n", F.posexplode("prefix").alias("pos", "gram"))
     hubs = (
         listed.groupBy("gram")
