@@ -19,6 +19,7 @@ from scdstar.operators.lineage import stamp_closed, stamp_inserted
 from scdstar.operators.lookup import Lookup, resolve
 
 CLOSES = "_closes"
+THERE = "_there"
 
 
 @dataclass(frozen=True)
@@ -106,46 +107,70 @@ def differs(pairs: Sequence[tuple[Column, Column]], null_safe: bool = False) ->
     return F.coalesce(reduce(or_, [a != b for a, b in pairs]), F.lit(False))
 
 
+def _known(current: DataFrame, spec: TableSpec, compared: Sequence[str]) -> DataFrame:
+    """What change detection reads of current versions."""
+    return current.select(
+        *spec.key,
+        F.col(spec.sk).alias(CLOSES),
+        *[F.col(c).alias(f"_was_{c}") for c in compared],
+    )
+
+
+def _differing(joined: DataFrame, compared: Sequence[str], options: LoadOptions) -> Column:
+    changed = differs([(F.col(f"_was_{c}"), F.col(c)) for c in compared], options.null_safe)
+    return F.col(CLOSES).isNull() | changed
+
+
 def detect_changes(
-    current: DataFrame | None, source: DataFrame, spec: TableSpec, options: LoadOptions
+    current: DataFrame | Sequence[DataFrame] | None,
+    source: DataFrame,
+    spec: TableSpec,
+    options: LoadOptions,
 ) -> DataFrame:
     """Source rows that need a new version, with the key of the version they close.
 
     ``_closes`` is NULL for a row without current version. Only the key, the
     surrogate key and the compared columns of the table are read and shuffled.
+
+    ``current`` may come in pieces without common keys. Each is joined by itself, so that
+    a piece that is bucketed by the natural key is not shuffled.
     """
     if current is None:
         return source.withColumn(CLOSES, F.lit(None).cast("long"))
+    pieces = [current] if isinstance(current, DataFrame) else list(current)
     compared = spec.compared(options.strict)
-    known = current.select(
-        *spec.key,
-        F.col(spec.sk).alias(CLOSES),
-        *[F.col(c).alias(f"_was_{c}") for c in compared],
-    )
-    changed = differs([(F.col(f"_was_{c}"), F.col(c)) for c in compared], options.null_safe)
-    return (
-        source.join(known, list(spec.key), "left")
-        .where(F.col(CLOSES).isNull() | changed)
-        .select(*source.columns, CLOSES)
-    )
-
-
-def closing_keys(
-    current: DataFrame, source: DataFrame, changes: DataFrame, spec: TableSpec,
-    options: LoadOptions,
+    known = [CLOSES, *[f"_was_{c}" for c in compared]]
+    joined = source.join(_known(pieces[0], spec, compared), list(spec.key), "left")
+    for piece in pieces[1:]:
+        found = _known(piece, spec, compared).withColumnsRenamed({c: f"{c}_2" for c in known})
+        joined = joined.join(found, list(spec.key), "left")
+        here = F.col(CLOSES).isNotNull()
+        for c in reversed(known):  # the marker last, as the others depend on it
+            joined = joined.withColumn(c, F.when(here, F.col(c)).otherwise(F.col(f"{c}_2"))).drop(f"{c}_2")
+    return joined.where(_differing(joined, compared, options)).select(*source.columns, CLOSES)
+
+
+def detect_with_missing(
+    current: DataFrame, source: DataFrame, spec: TableSpec, options: LoadOptions
 ) -> DataFrame:
-    """Surrogate keys of the versions that end with this batch."""
-    closing = changes.where(F.col(CLOSES).isNotNull()).select(F.col(CLOSES).alias(spec.sk))
-    if options.close_missing:
-        gone = current.select(*spec.key, spec.sk).join(source, list(spec.key), "left_anti")
-        closing = closing.unionByName(gone.select(spec.sk))
-    return closing
+    """Changed and new source rows, and the keys of versions that the source lacks.
+
+    As :func:`detect_changes`, by one full join that reads the source once; ``_there`` tells
+    the rows of the source.
+    """
+    compared = spec.compared(options.strict)
+    joined = source.withColumn(THERE, F.lit(True)).join(
+        _known(current, spec, compared), list(spec.key), "full"
+    )
+    return joined.where(
+        F.col(THERE).isNull() | _differing(joined, compared, options)
+    ).select(*source.columns, CLOSES, THERE)
 
 
 def merge(
     spec: TableSpec,
     source: DataFrame,
-    current: DataFrame | None,
+    current: DataFrame | Sequence[DataFrame] | None,
     history: DataFrame | None,
     versions: Callable[[str], DataFrame],
     batch_id: int,
@@ -153,6 +178,7 @@ def merge(
     options: LoadOptions = LoadOptions(),
     stage: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
     latest: Callable[[Lookup], DataFrame] | None = None,
+    base: Column | None = None,
 ) -> Merge:
     """Load ``source`` as batch ``batch_id`` on top of a table's versions.
 
@@ -160,26 +186,35 @@ def merge(
     ``versions`` gives all versions of the tables this one refers to, as they are
     after their own load in this batch. ``stage`` may materialize the changed rows,
     which are used more than once. Pass ``current=None`` for a first load, where all
-    rows are new.
+    rows are new. ``base`` is the highest surrogate key so far, if it is known.
 
     A row whose references cannot be resolved gets no version, yet still closes
     the version it differs from.
     """
-    changes = detect_changes(current, source, spec, options)
-    if current is not None:
-        changes = stage(changes, f"{spec.name}_changes")
-    base = highest_key(current, spec.sk)
-    if current is not None and history is not None:
-        base = F.greatest(base, highest_key(history, spec.sk))
+    pieces = None if current is None else [current] if isinstance(current, DataFrame) else current
+    whole = pieces and reduce(DataFrame.unionByName, pieces)
+    if whole is None:
+        changes = detect_changes(None, source, spec, options)
+    elif options.close_missing:
+        found = stage(detect_with_missing(whole, source, spec, options), f"{spec.name}_changes")
+        changes = found.where(F.col(THERE)).drop(THERE)
+    else:
+        found = changes = stage(detect_changes(pieces, source, spec, options), f"{spec.name}_changes")
+    if base is None:
+        base = highest_key(whole, spec.sk)
+        if whole is not None and history is not None:
+            base = F.greatest(base, highest_key(history, spec.sk))
     resolved = resolve(changes.drop(CLOSES), spec.lookups, versions, latest)
     fresh = stamp_inserted(
         assign_keys(resolved, spec.sk, spec.key, base), batch_id, spec.source_id, load_ts
     )
-    if current is None:
+    if whole is None:
         return Merge(changes, None, None, fresh)
-    closing = closing_keys(current, source, changes, spec, options)
-    kept = current.join(closing, spec.sk, "left_anti")
+    # A natural key has one current version at most, so it tells which one closes.
+    closing = found.where(F.col(CLOSES).isNotNull()).select(*spec.key)
+    kept = whole.join(closing, list(spec.key), "left_anti")
+    ending = [piece.join(closing, list(spec.key), "left_semi") for piece in pieces]
     closed = stamp_closed(
-        current.join(closing, spec.sk, "left_semi"), batch_id, spec.source_id, load_ts
+        reduce(DataFrame.unionByName, ending), batch_id, spec.source_id, load_ts
     )
     return Merge(changes, kept, closed, fresh)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from threading import Lock
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from scdstar.operators.lineage import expired
 from scdstar.operators.lookup import Lookup, latest_of
@@ -23,14 +23,20 @@ def unstaged(df: DataFrame, name: str) -> DataFrame:
 class Warehouse:
     """Current and closed versions of each table.
 
-    They are kept apart so that a batch rewrites current rows only, and a reader
-    of current rows never opens history.
+    They are kept apart, so that a reader of current rows never opens history. ``pieces`` may
+    give the current rows of a table in frames without common keys, and ``given_latest`` the
+    latest key of each natural key, as far as they are stored.
     """
 
     current: dict[str, DataFrame] = field(default_factory=dict)
     history: dict[str, DataFrame] = field(default_factory=dict)
-    _latest: dict[str, DataFrame] = field(default_factory=dict)
-    _lock: Lock = field(default_factory=Lock)
+    pieces: dict[str, list[DataFrame]] = field(default_factory=dict)
+    given_latest: dict[str, DataFrame] = field(default_factory=dict)
+    _locks: dict[str, Lock] = field(default_factory=dict)
+
+    def copy(self) -> Warehouse:
+        frames = (self.current, self.history, self.pieces, self.given_latest)
+        return Warehouse(*[dict(found) for found in frames])
 
     def versions(self, table: str) -> DataFrame:
         rows = self.current[table]
@@ -38,13 +44,13 @@ class Warehouse:
         return rows if past is None else rows.unionByName(past)
 
     def latest(self, look: Lookup, stage: Stage) -> DataFrame:
-        """The latest key of each natural key, written once for all lookups of a load, so
-        that history is aggregated once and each lookup is a plain join."""
-        with self._lock:
-            if look.table not in self._latest:
+        """The latest key of each natural key: as stored, or else written once for all lookups
+        of a load, so that history is aggregated once and each lookup is a plain join."""
+        with self._locks.setdefault(look.table, Lock()):  # one table's does not hold up another's
+            if look.table not in self.given_latest:
                 rows = latest_of(look, self.versions(look.table))
-                self._latest[look.table] = stage(rows, f"{look.table}_latest")
-            return self._latest[look.table]
+                self.given_latest[look.table] = stage(rows, f"{look.table}_latest")
+            return self.given_latest[look.table]
 
     def expired(self, table: str) -> DataFrame:
         past = self.history.get(table)
@@ -60,12 +66,17 @@ def load_table(
     load_ts: str,
     options: LoadOptions = LoadOptions(),
     stage: Stage = unstaged,
+    base: Column | None = None,
+    watch: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> Merge:
-    """Load one table's source rows; ``after`` holds the tables loaded so far in this batch."""
+    """Load one table's source rows; ``after`` holds the tables loaded so far in this batch.
+
+    ``watch`` may observe the rows as they are read. ``base`` is as in :func:`merge`.
+    """
     return merge(
         spec,
-        project_source(source, spec),
-        before.current.get(spec.name),
+        watch(project_source(source, spec)),
+        before.pieces.get(spec.name) or before.current.get(spec.name),
         before.history.get(spec.name),
         after.versions,
         batch_id,
@@ -73,4 +84,5 @@ def load_table(
         options,
         stage,
         lambda look: after.latest(look, stage),
+        base,
     )

@@ -108,12 +108,17 @@ def fact_booking(bookings: DataFrame) -> DataFrame:
     return _columns(bookings, "fact_booking")
 
 
+def fact_review_rows(reviews: DataFrame) -> DataFrame:
+    """Reviews, without their text, whose date is in the calendar."""
+    keyed = reviews.withColumn("date_published_sk", calendar_key(F.col("date_published")))
+    return _columns(keyed.where(F.col("date_published_sk").isNotNull()), "fact_review")
+
+
 def fact_review(reviews: DataFrame, flights: DataFrame, customers: DataFrame) -> DataFrame:
     """Reviews, without their text, whose flight and customer are in the dimensions
     ``flights`` and ``customers`` and whose date is in the calendar."""
-    keyed = reviews.withColumn("date_published_sk", calendar_key(F.col("date_published")))
     return _columns(
-        keyed.where(F.col("date_published_sk").isNotNull())
+        fact_review_rows(reviews)
         .join(flights.select("flight_sk"), "flight_sk", "left_semi")
         .join(customers.select("customer_sk"), "customer_sk", "left_semi"),
         "fact_review",

@@ -1,14 +1,13 @@
 """Namespaces, tables and sinks in the session catalog.
 
-A logical table is a view. Warehouse and star tables are written as new physical
-tables per batch and the view is moved to them, because a Parquet table cannot be
-overwritten while it is read. Closed versions go to one append-only history table
-per warehouse table, partitioned by the batch that closed them.
+A logical table is a view over physical ones: the parts that batches wrote, named after the
+batch, without what was removed since. Closed versions go to one append-only history table
+per warehouse table, partitioned by the batch that closed them; removed dimension keys likewise.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -46,7 +45,7 @@ def ensure_versioned(
     tables: Mapping[str, T.StructType],
     root: str | None = None,
 ) -> None:
-    """Create the namespace and, for each missing logical table, an empty first version."""
+    """Create the namespace and, for each missing logical table, an empty first part."""
     create_namespace(spark, namespace, root)
     missing = {n: s for n, s in tables.items()
                if not spark.catalog.tableExists(f"{namespace}.{n}")}
@@ -106,27 +105,20 @@ def stage_rows(df: DataFrame, namespace: str, table: str) -> DataFrame:
     return df.sparkSession.table(f"{namespace}.{table}")
 
 
-def save_version(df: DataFrame, namespace: str, table: str, version: int) -> DataFrame:
-    """Write one physical version of a table; a rerun of the batch replaces it."""
-    physical = f"{namespace}.{table}__v{version}"
-    df.write.mode("overwrite").saveAsTable(physical)
-    return df.sparkSession.table(physical)
-
-
-def read_version(spark: SparkSession, namespace: str, table: str, version: int) -> DataFrame:
-    return spark.table(f"{namespace}.{table}__v{version}")
-
-
-def drop_old_versions(
-    spark: SparkSession, namespace: str, versions: Mapping[str, int]
-) -> None:
-    """Drop the physical versions older than the given one of each table."""
+def drop_parts(spark: SparkSession, namespace: str, drop: Callable[[str, int], bool]) -> None:
+    """Drop the parts ``<table>__v<batch>`` of a namespace for which ``drop(table, batch)`` holds."""
     for found in spark.sql(f"SHOW TABLES IN {namespace}").collect():
-        table, _, version = found.tableName.rpartition("__v")
-        if table in versions and version.isdigit() and int(version) < versions[table]:
+        table, _, batch_id = found.tableName.rpartition("__v")
+        if table and batch_id.isdigit() and drop(table, int(batch_id)):
             spark.sql(f"DROP TABLE IF EXISTS {namespace}.{found.tableName}")
 
 
+def parts_from(spark: SparkSession, namespace: str, batch_id: int) -> bool:
+    """Whether any part of ``batch_id`` or later is there."""
+    names = [r.tableName.rpartition("__v") for r in spark.sql(f"SHOW TABLES IN {namespace}").collect()]
+    return any(t and v.isdigit() and int(v) >= batch_id for t, _, v in names)
+
+
 def ensure_history(
     spark: SparkSession, namespace: str, table: str, schema: T.StructType
 ) -> None:
@@ -137,13 +129,21 @@ def ensure_history(
     )
 
 
-def drop_uncommitted_history(
+def ensure_removed(spark: SparkSession, namespace: str, table: str) -> None:
+    """Create the table of the keys that were removed from ``table``, if missing."""
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {namespace}.{table}__gone (gone bigint, update_id int)"
+        " USING parquet PARTITIONED BY (update_id)"
+    )
+
+
+def drop_uncommitted(
     spark: SparkSession, namespace: str, tables: Iterable[str], batch_id: int
 ) -> None:
-    """Drop what failed attempts closed: partitions of ``batch_id`` and later, of every table,
-    whether or not the coming attempt closes rows of it."""
+    """Drop what failed attempts left in tables partitioned by batch: partitions of ``batch_id`` and
+    later, whether or not the coming attempt writes to them."""
     for table in tables:
-        target = f"{namespace}.{table}__history"
+        target = f"{namespace}.{table}"
         if spark.catalog.tableExists(target):
             stale = spark.sql(f"SHOW PARTITIONS {target}").where(
                 F.substring_index("partition", "=", -1).cast("int") >= batch_id
@@ -152,13 +152,13 @@ def drop_uncommitted_history(
                 spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({found.partition})")
 
 
-def add_history(df: DataFrame, namespace: str, table: str, batch_id: int) -> int:
-    """Append the versions a batch closed, replacing those of a failed attempt.
+def add_partition(df: DataFrame, target: str, batch_id: int) -> int:
+    """Append a batch's rows to a table partitioned by ``update_id``, replacing those of a
+    failed attempt.
 
-    They come few from every part of the table, so they are gathered into files of
+    They come few from every part of a table, so they are gathered into files of
     a reasonable size. Returns their number, counted in the new partition.
     """
-    target = f"{namespace}.{table}__history"
     spark = df.sparkSession
     spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION (update_id = {batch_id})")
     append_by_name(df.hint("rebalance"), target)
@@ -166,11 +166,17 @@ def add_history(df: DataFrame, namespace: str, table: str, batch_id: int) -> int
 
 
 def read_history(
-    spark: SparkSession, namespace: str, table: str, schema: T.StructType, batch_id: int
+    spark: SparkSession,
+    namespace: str,
+    table: str,
+    schema: T.StructType,
+    batch_id: int,
+    since: int = 0,
 ) -> DataFrame:
-    """Versions closed up to ``batch_id``, whole partitions only."""
+    """Versions closed after batch ``since`` and up to ``batch_id``, whole partitions only."""
     rows = spark.table(f"{namespace}.{table}__history")
-    return rows.where(rows.update_id <= batch_id).select(*schema.names)
+    chosen = rows.where((rows.update_id > since) & (rows.update_id <= batch_id))
+    return chosen.select(*schema.names)
 
 
 def publish(spark: SparkSession, namespace: str, table: str, select: str) -> None:
