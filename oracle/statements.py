@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from oracle.tables import CTES, STAR_KEYS, TABLES, TS1, changes, merged, with_tables
+from oracle.tables import (
+    CTES, STAR_KEYS, TABLES, TS1, changes, merged, opened, with_tables,
+)
 
 # Whitespace a cell is stripped of.
 WHITESPACE = (
@@ -65,6 +67,28 @@ SELECT *, round(coalesce(({' + '.join(_RATED)})::DOUBLE
        / nullif({' + '.join(f'({c} <> 0)::INTEGER' for c in _RATED)}, 0), 0), 6) AS rating
 FROM cleansed""", _RAW)
 
+add("review_raw_csv", "SELECT * REPLACE (round(rating, 6) AS rating) FROM raw_versions", {
+    **_RAW,
+    "raw_staged": f"""
+SELECT c.event_id % (SELECT max(o_orderkey) + 1 FROM orders) AS flight_id, e.user_id AS customer_id,
+       c.seat_type AS seat_class, content,
+       coalesce(({' + '.join(_RATED)})::DOUBLE
+         / nullif({' + '.join(f'({c} <> 0)::INTEGER' for c in _RATED)}, 0), 0) AS rating,
+       recommended, seat_comfort, cabin_staff_service, food_and_beverages, inflight_entertainment,
+       value_for_money, source_date::TIMESTAMP AS date_published
+FROM cleansed c JOIN events e USING (event_id)""",
+    "raw_versions": opened("airline_reviews", 1, "SELECT * FROM raw_staged", "0"),
+})
+add("source_parquet", """
+SELECT airplane_id AS id, model, registration_number, fuel_consumption_per_hour,
+       maintenance_days::INTEGER AS maintenance_days FROM source1_airplanes""")
+add("insert_select_pilots", f"""
+SELECT pilot_id + 1 AS pilot_sk, *, {TS1} AS start_date, 1::INTEGER AS source_id,
+       1::INTEGER AS insert_id, 0::INTEGER AS update_id, TRUE AS is_current FROM source1_pilots""")
+add("truncated_tables", """
+SELECT 'pilots' AS table_name, count(*) AS n_before, 0::BIGINT AS n_after FROM source1_pilots
+UNION ALL SELECT 'airplanes', count(*), 0 FROM source1_airplanes""")
+
 for _query, _table in {
     "resolve_flights": "flights", "resolve_crew_bridge": "flight_cabin_crew",
     "resolve_bookings": "flight_bookings", "resolve_reviews": "airline_reviews",
@@ -104,6 +128,7 @@ add("scd2_close_missing", "SELECT * FROM all_closed", {
         " WHERE customer_id NOT IN (SELECT customer_id FROM source2_customers)")})
 add("scd2_current", "SELECT * FROM wh2_customers WHERE is_current")
 add("scd2_as_of", "SELECT * FROM wh2_flights WHERE insert_id = 1")
+add("scd2_as_of_later", "SELECT * FROM wh2_flights WHERE is_current")
 add("scd2_latest", """
 SELECT * FROM wh2_flights
 QUALIFY row_number() OVER (PARTITION BY flight_id ORDER BY start_date DESC, flight_sk DESC) = 1""")
@@ -133,13 +158,37 @@ SELECT customer_sk, full_name, email, frequent_flyer FROM wh2_customers
 WHERE is_current AND customer_sk NOT IN (SELECT customer_sk FROM star1_dim_customer)""")
 
 
-def _all_keys(prefix: str) -> str:
+_STAR_COLUMNS = {
+    "dim_airport": "airport_sk code name city country",
+    "dim_airplane": "airplane_sk model registration_number fuel_consumption_per_hour* maintenance_days",
+    "dim_pilot": "pilot_sk name license_number",
+    "dim_customer": "customer_sk full_name email frequent_flyer",
+    "dim_flight": "flight_sk flight_number departure_airport_sk arrival_airport_sk departure_datetime"
+                  " arrival_datetime airplane_sk pilot_sk copilot_sk status is_ferry_flight",
+    "fact_flight": "flight_sk departure_date_sk arrival_date_sk delay_minutes"
+                   " estimated_flight_hours* is_ferry_flight",
+    "fact_booking": "flight_booking_sk flight_sk customer_sk seat_number",
+    "fact_review": "airline_review_sk flight_sk customer_sk seat_class rating* recommended"
+                   " seat_comfort cabin_staff_service food_and_beverages inflight_entertainment"
+                   " value_for_money date_published_sk",
+}
+
+
+def _all_rows(prefix: str) -> str:
+    """Key and content of every row; a column marked with a star is a double."""
+    def text(column: str) -> str:
+        name = column.rstrip("*")
+        value = f"{name}::DECIMAL(18,6)" if column.endswith("*") else name
+        return f"coalesce({value}::VARCHAR, '~')"
+
     return " UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, {sk} AS sk FROM {prefix}{t}" for t, sk in STAR_KEYS.items())
+        f"SELECT '{t}' AS table_name, {sk} AS sk,"
+        f" concat_ws('|', {', '.join(map(text, _STAR_COLUMNS[t].split()))}) AS content"
+        f" FROM {prefix}{t}" for t, sk in STAR_KEYS.items())
 
 
-add("star_refresh", _all_keys("star_"))
-add("star_all_versions", _all_keys("starall_"))
+add("star_refresh", _all_rows("star_"))
+add("star_all_versions", _all_rows("starall_"))
 
 # CSV files hold no NULL texts: what was NULL comes back empty.
 add("review_csv_round_trip",
@@ -153,7 +202,7 @@ _STREAMED = {
 }
 add("batch_flights", "SELECT * FROM wh2_flights")
 add("batch_reviews_streamed", "SELECT * FROM streamed_reviews", _STREAMED)
-add("batch_star", _all_keys("star_").replace("star_fact_review", "streamed_fact"), {
+add("batch_star", _all_rows("star_").replace("star_fact_review", "streamed_fact"), {
     **_STREAMED,
     **{f"star_{t}": CTES[f"star_{t}"].replace("wh2_airline_reviews", "streamed_reviews")
        for t in ("dim_flight", "dim_customer")},
@@ -170,6 +219,7 @@ FROM (SELECT (SELECT count(*) FROM {versions} WHERE insert_id = {batch}) AS inse
              (SELECT count(*) FROM {changed}) AS n_changed)"""
 
 
+add("batch_timed", "SELECT * FROM wh2_airports")
 add("batch_after_failure", "SELECT * FROM wh1_customers")
 add("batch_two_streams",
     "SELECT flight_id, customer_id, date_published, rating, content FROM wh1_airline_reviews")
@@ -203,13 +253,29 @@ add("audit_unique", """
 SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
 GROUP BY ALL HAVING count(*) > 1""")
 add("audit_unique_registration", """
-SELECT registration_number, count(*) AS n_rows FROM source2_airplanes
-GROUP BY ALL HAVING count(*) > 1""")
+SELECT registration_number, 2::BIGINT AS n_rows FROM source2_airplanes WHERE airplane_id % 4 = 0""")
+add("audit_warehouse", """
+SELECT * FROM (
+SELECT 'flights' AS table_name, 'reference' AS rule, 'pilot_sk' AS columns, count(*) AS n_rows
+FROM wh2_flights WHERE pilot_id % 7 = 0
+UNION ALL SELECT 'flights', 'reference', 'copilot_sk', count(*) FROM wh2_flights WHERE copilot_id % 7 = 0
+UNION ALL SELECT 'dim_airport', 'key', 'airport_sk', 2 * count(*) FROM star_dim_airport
+WHERE airport_sk % 2 = 0
+UNION ALL SELECT 'fact_booking', 'not null', 'seat_number', count(*) FROM star_fact_booking
+WHERE flight_booking_sk % 5 = 0
+UNION ALL SELECT 'dim_flight', 'enum', 'status', count(*) FROM star_dim_flight WHERE flight_sk % 3 = 0
+UNION ALL SELECT 'fact_flight', 'reference', 'departure_date_sk', count(*) FROM star_fact_flight
+WHERE departure_date_sk IN (SELECT date_sk FROM calendar WHERE year >= 1998)
+UNION ALL SELECT 'fact_flight', 'reference', 'arrival_date_sk', count(*) FROM star_fact_flight
+WHERE arrival_date_sk IN (SELECT date_sk FROM calendar WHERE year >= 1998)
+UNION ALL SELECT 'fact_review', 'reference', 'date_published_sk', count(*) FROM star_fact_review
+WHERE date_published_sk IN (SELECT date_sk FROM calendar WHERE year >= 1998))
+WHERE n_rows > 0""")
 add("audit_fk", """
 SELECT flight_id AS ref, count(*) AS n_rows FROM source2_flight_bookings
 WHERE flight_id NOT IN (SELECT flight_id FROM wh2_flights) GROUP BY ALL""")
 add("audit_single_current", """
-SELECT flight_id, count(*) AS n_rows FROM wh2_flights WHERE is_current
+SELECT flight_id, count(*) AS n_rows FROM wh2_flights WHERE is_current OR flight_id % 2 = 0
 GROUP BY ALL HAVING count(*) > 1""")
 add("audit_enum", """
 SELECT o_orderstatus AS value, count(*) AS n_rows FROM orders
@@ -256,8 +322,15 @@ _RULES = {
     "same_pilot": "pilot_id = copilot_id",
 }
 add("audit_rules", " UNION ALL ".join(
-    f"SELECT flight_id AS id, '{rule}' AS rule FROM source2_flights WHERE {test}"
-    for rule, test in _RULES.items()))
+    f"SELECT flight_id AS id, '{rule}' AS rule FROM broken_flights WHERE {test}"
+    for rule, test in _RULES.items()), {"broken_flights": """
+SELECT * REPLACE (
+  arrival_time + to_minutes(CASE WHEN flight_id % 23 = 0 THEN 5 ELSE 0 END) AS arrival_time,
+  CASE WHEN flight_id % 29 = 0 THEN 4.0 ELSE estimated_flight_hours END::DOUBLE AS estimated_flight_hours,
+  CASE WHEN flight_id % 31 = 0 THEN departure_airport_id ELSE arrival_airport_id END AS arrival_airport_id,
+  CASE WHEN flight_id % 37 = 0 THEN pilot_id ELSE copilot_id END AS copilot_id,
+  is_ferry_flight OR flight_id % 41 = 0 AS is_ferry_flight)
+FROM source2_flights"""})
 add("audit_occupancy", """
 SELECT flight_id, coalesce(c.n, 0)::BIGINT AS n_crew, coalesce(b.n, 0)::BIGINT AS n_passengers
 FROM source2_flights

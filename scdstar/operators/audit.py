@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -47,6 +48,122 @@ def dangling(child: DataFrame, ref: str, parent: DataFrame, key: str) -> DataFra
     return refs.join(parent.select(F.col(key).alias("ref")), "ref", "left_anti")
 
 
+class _Checks:
+    """Declared keys and references as entries that rows make, and what to make of their counts.
+
+    An entry has a space, a value in it and a role. A table's key is a space: its rows enter their
+    key in role 0, and each column that refers to it enters its values in a role of its
+    own. So one count by space, value and role tells duplicate keys (role 0 more than once) and
+    dangling references (no role 0).
+    """
+
+    def __init__(
+        self,
+        schemas: Mapping[str, T.StructType],
+        constraints: Mapping[str, Constraints],
+        tables: Sequence[str],
+    ) -> None:
+        #: By table, entries whose value is a number, and those whose value is several columns.
+        self.numbers: dict[str, list[Column]] = {t: [] for t in tables}
+        self.texts: dict[str, list[Column]] = {t: [] for t in tables}
+        #: For each space, its roles: the names to report, or none for keys referred to only.
+        self.spaces: list[list[tuple[str, str, str] | None]] = []
+        #: Whether a space's role 0 may occur once.
+        self.once: list[bool] = []
+        parents: dict[str, int] = {}
+        for table in tables:
+            declared = constraints[table]
+            for rule, key in [("key", declared.key), *(("unique", u) for u in declared.unique)]:
+                space = self._space((table, rule, ",".join(key)), once=True)
+                self._enter(table, schemas[table], space, 0, key)
+                if rule == "key" and len(key) == 1:
+                    parents[table] = space
+        for table in tables:
+            for ref, parent in constraints[table].references:
+                if parent not in tables:
+                    continue
+                if parent not in parents:  # a key of several columns: its first is referred to
+                    parents[parent] = self._space(None, once=False)
+                    key = constraints[parent].key[:1]
+                    self._enter(parent, schemas[parent], parents[parent], 0, key)
+                found = self.spaces[parents[parent]]
+                found.append((table, "reference", ref))
+                self._enter(table, schemas[table], parents[parent], len(found) - 1, (ref,))
+
+    def _space(self, check: tuple[str, str, str] | None, once: bool) -> int:
+        self.spaces.append([check])
+        self.once.append(once)
+        return len(self.spaces) - 1
+
+    def _enter(
+        self, table: str, schema: T.StructType, space: int, role: int, columns: Sequence[str]
+    ) -> None:
+        number = len(columns) == 1 and isinstance(schema[columns[0]].dataType, T.IntegralType)
+        if number:
+            value = F.col(columns[0]).cast("long")
+        else:
+            value = F.array(*[F.col(c).cast("string") for c in columns])
+        entry = F.struct(
+            F.lit(space).alias("space"), F.lit(role).alias("role"), value.alias("value")
+        )
+        (self.numbers if number else self.texts)[table].append(entry)
+
+    def counts(self, tables: Mapping[str, DataFrame], entries: Mapping[str, list[Column]]) -> DataFrame | None:
+        """For each space and value how often it was entered in each role."""
+        entered = [
+            df.select(F.inline(F.array(*entries[name])))
+            .where("role = 0 OR value IS NOT NULL")  # a NULL key is a key, a NULL reference is none
+            for name, df in tables.items() if entries[name]
+        ]
+        if not entered:
+            return None
+        roles = range(max(map(len, self.spaces)))
+        return reduce(DataFrame.unionByName, entered).groupBy("space", "value").agg(
+            *[F.count_if(F.col("role") == r).alias(f"n_{r}") for r in roles]
+        ).drop("value")
+
+    def violations(self, counts: DataFrame) -> DataFrame:
+        """Number of rows that violate each check, by its name."""
+        roles = max(map(len, self.spaces))
+        once = F.element_at(F.array(*map(F.lit, self.once)), F.col("space") + 1)
+        found = [F.when(once & (F.col("n_0") > 1), F.col("n_0"))]
+        found += [F.when(F.col("n_0") == 0, F.col(f"n_{r}")) for r in range(1, roles)]
+        summed = counts.where(reduce(or_, [f > 0 for f in found])).groupBy("space").agg(
+            *[F.sum(f).alias(f"n_{r}") for r, f in enumerate(found)]
+        )
+        named = [
+            [checks[r] if r < len(checks) else None for r in range(roles)] for checks in self.spaces
+        ]
+
+        def name(r: int, k: int) -> Column:
+            words = [F.lit(checks[r][k] if checks[r] else None).cast("string") for checks in named]
+            return F.element_at(F.array(*words), F.col("space") + 1)
+
+        listed = [
+            F.struct(
+                name(r, 0).alias("table_name"), name(r, 1).alias("rule"), name(r, 2).alias("columns"),
+                F.col(f"n_{r}").alias("n_rows"),
+            )
+            for r in range(roles)
+        ]
+        return summed.select(F.inline(F.array(*listed)))
+
+
+def _counted_in_rows(name: str, df: DataFrame, schema: T.StructType, declared: Constraints) -> DataFrame:
+    """NULLs in columns that must not hold any, and values outside enums, in one pass."""
+    tests = [("not null", f.name, F.col(f.name).isNull()) for f in schema if not f.nullable]
+    tests += [("enum", c, ~F.col(c).isin(*allowed)) for c, allowed in declared.enums]
+    counts = df.agg(*[F.count_if(test).alias(f"n_{k}") for k, (_, _, test) in enumerate(tests)])
+    listed = [
+        F.struct(
+            F.lit(name).alias("table_name"), F.lit(rule).alias("rule"), F.lit(column).alias("columns"),
+            F.col(f"n_{k}").alias("n_rows"),
+        )
+        for k, (rule, column, _) in enumerate(tests)
+    ]
+    return counts.select(F.inline(F.array(*listed)))
+
+
 def constraint_violations(
     tables: Mapping[str, DataFrame],
     schemas: Mapping[str, T.StructType] = OPERATIONAL,
@@ -54,36 +171,15 @@ def constraint_violations(
 ) -> DataFrame:
     """Every declared constraint that is violated, with the number of rows that do.
 
-    Each check is an aggregation that combines map-side or a join of counted
-    references, so no table is gathered and hot values are one row per task.
+    The keys and references of all tables are grouped once, whatever the number of
+    constraints; NULLs and enums are counted in one pass over each table. Entries are counted
+    map-side, so hot values are one row per task.
     """
-
-    def counted(found: DataFrame, table: str, rule: str, columns: Sequence[str]) -> DataFrame:
-        return found.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows")).select(
-            F.lit(table).alias("table_name"), F.lit(rule).alias("rule"),
-            F.lit(",".join(columns)).alias("columns"), "n_rows",
-        )
-
-    parts = []
-    for name, df in tables.items():
-        declared = constraints[name]
-        parts.append(
-            not_null(df, schemas[name]).select(
-                F.lit(name).alias("table_name"), F.lit("not null").alias("rule"),
-                F.col("column_name").alias("columns"), F.col("n_null").alias("n_rows"),
-            )
-        )
-        for rule, key in [("key", declared.key), *(("unique", u) for u in declared.unique)]:
-            parts.append(counted(duplicates(df, key), name, rule, key))
-        for ref, parent in declared.references:
-            if parent in tables:
-                key = constraints[parent].key[0]
-                parts.append(
-                    counted(dangling(df, ref, tables[parent], key), name, "reference", (ref,))
-                )
-        for column, allowed in declared.enums:
-            parts.append(counted(outside_enum(df, column, allowed), name, "enum", (column,)))
-    return reduce(DataFrame.unionByName, parts).where("n_rows > 0")
+    checks = _Checks(schemas, constraints, list(tables))
+    counts = [checks.counts(tables, entries) for entries in (checks.numbers, checks.texts)]
+    parts = [checks.violations(found) for found in counts if found is not None]
+    parts += [_counted_in_rows(n, df, schemas[n], constraints[n]) for n, df in tables.items()]
+    return reduce(DataFrame.unionByName, parts).where("n_rows > 0 AND table_name IS NOT NULL")
 
 
 def several_current(versions: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -7,6 +7,7 @@ shared folder.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Iterable, Mapping
 
@@ -21,7 +22,7 @@ from scdstar.schemas import WAREHOUSE_TABLES
 from scdstar.session import shared_folder, side_by_side, stage
 from scdstar.sources.reviews import write_reviews
 from scdstar.sources.testdata import LOAD_TS, snapshot, snapshot_table
-from scdstar.streaming.reviews import stream_reviews
+from scdstar.streaming.reviews import load_every, stream_reviews
 
 _SESSIONS: dict[tuple[str, str], TwoBatches] = {}
 
@@ -164,6 +165,25 @@ class TwoBatches:
         runner.run_batch({"airports": tables["airports"]}, None, LOAD_TS[2])
         return runner
 
+    def timed(self) -> Pipeline:
+        """Batch 1 without reviews, and then the airports of batch 2 by a timed load."""
+        runner = self._new_pipeline()
+        tables, reviews = snapshot(self.spark, self.folder, 1)
+        runner.run_initial(tables, reviews.limit(0), LOAD_TS[1])
+        airports = snapshot_table(self.spark, self.folder, "airports", 2)
+        query = load_every(
+            runner, lambda: {"airports": airports}, "1 second", f"{runner.root}/timed",
+            lambda: LOAD_TS[2],
+        )
+        try:
+            while runner.last_batch_id() < 2 and query.isActive:
+                time.sleep(0.2)
+        finally:
+            query.stop()  # in the middle of a later load, as the case may be
+        if runner.last_batch_id() < 2:
+            raise query.exception() or RuntimeError("no load was started")
+        return runner
+
     def streamed_in_two(self, initial_reviews: bool, options: LoadOptions = LoadOptions()) -> Pipeline:
         """All reviews of batch 1 by two streams of one name, each of which has some
         customers' reviews and a checkpoint of its own; on top of an initial load with or

@@ -9,7 +9,7 @@ import uuid
 from collections.abc import Callable, Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from scdstar.functions.columns import hours, whole_minutes
 from scdstar.operators import audit, lineage
@@ -19,12 +19,22 @@ from scdstar.operators.lookup import resolve
 from scdstar.operators.rows import insert_absent
 from scdstar.operators.scd2 import CLOSES, LoadOptions, detect_changes, project_source
 from scdstar.plans import analytics, star as star_plan
-from scdstar.plans.specs import SPECS
+from scdstar.plans.frames import Warehouse, load_table
+from scdstar.plans.specs import REVIEWS, SPECS
 from scdstar.plans.star import KEYS, build_star, delete_expired, refresh_star
 from scdstar.plans.two_batches import two_batches
-from scdstar.schemas import WAREHOUSE_TABLES
+from scdstar.schemas import (
+    OPERATIONAL, STAR_CONSTRAINTS, STAR_TABLES, WAREHOUSE_CONSTRAINTS, WAREHOUSE_TABLES, max_timestamp,
+)
 from scdstar.session import shared_folder, stage
-from scdstar.sources.reviews import cleanse_reviews, read_staged_reviews, write_reviews
+from scdstar.sources.catalog import (
+    append_by_name, create_namespace, ensure_namespace, insert_select, truncate_namespace,
+)
+from scdstar.sources.operational import read_parquet
+from scdstar.sources.reviews import (
+    cleanse_reviews, read_raw_reviews, read_staged_reviews, staged_reviews, write_raw_reviews,
+    write_reviews,
+)
 from scdstar.sources.testdata import LOAD_TS, raw_reviews, snapshot, snapshot_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,10 +57,23 @@ def shown(versions: DataFrame) -> DataFrame:
     ).drop("end_date")
 
 
-def keys_of(tables: Iterable[tuple[str, DataFrame]]) -> DataFrame:
-    """Table name and surrogate key of every row of several star tables."""
+def _content(df: DataFrame) -> Column:
+    """All columns of a row as one text."""
+    texts = [
+        F.col(f.name).cast("decimal(18,6)" if f.dataType == T.DoubleType() else f.dataType)
+        .cast("string")
+        for f in df.schema
+    ]
+    return F.concat_ws("|", *[F.coalesce(text, F.lit("~")) for text in texts])
+
+
+def rows_of(tables: Iterable[tuple[str, DataFrame]]) -> DataFrame:
+    """Table name, surrogate key and content of every row of several star tables."""
     parts = [
-        df.select(F.lit(name).alias("table_name"), F.col(KEYS[name]).alias("sk"))
+        df.select(
+            F.lit(name).alias("table_name"), F.col(KEYS[name]).alias("sk"),
+            _content(df).alias("content"),
+        )
         for name, df in tables
     ]
     return reduce(DataFrame.unionByName, parts)
@@ -110,6 +133,77 @@ def review_csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return read_staged_reviews(spark, path)
 
 
+@query
+def review_raw_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw review files, cut into ranges, cleansed, staged and loaded as versions.
+
+    The location of a raw review names its event, and its name the customer.
+    """
+    path = f"{shared_folder(spark)}/scdstar/{uuid.uuid4().hex}/raw-reviews"
+    raw = raw_reviews(spark, folder).withColumn("location", F.col("event_id").cast("string"))
+    write_raw_reviews(raw, path)
+    flights = spark.read.parquet(f"{folder}/orders.parquet").agg(F.max("o_orderkey") + 1).scalar()
+    named = read_raw_reviews(spark, path, split=True).withColumns(
+        {"flight_id": F.col("location").cast("long") % flights,
+         "customer_id": F.regexp_extract("name", r"(\d+)", 1).cast("long")}
+    )
+    cleansed = cleanse_reviews(named).withColumns(
+        {"seat_class": F.col("seat_type"), "date_published": F.col("source_date").cast("timestamp_ntz")}
+    )
+    loads = two_batches(spark, folder)
+    done = load_table(
+        REVIEWS, staged_reviews(cleansed), Warehouse(), loads.warehouse(1, REVIEWS.name).copy(), 1,
+        LOAD_TS[1], stage=stage,
+    )
+    found = done.inserted.select(*WAREHOUSE_TABLES[REVIEWS.name].names)
+    return shown(found.withColumn("rating", F.round("rating", 6)))
+
+
+@query
+def source_parquet(spark: SparkSession, folder: str) -> DataFrame:
+    """Airplanes written as a source and read with their declared schema."""
+    path = f"{shared_folder(spark)}/scdstar/{uuid.uuid4().hex}"
+    tables, _ = snapshot(spark, folder, 1)
+    tables["airplanes"].write.parquet(f"{path}/airplanes")
+    return read_parquet(spark, path, ["airplanes"])["airplanes"]
+
+
+def _ddl_namespace(spark: SparkSession) -> str:
+    name = f"scdstar_{uuid.uuid4().hex[:12]}"
+    create_namespace(spark, name, shared_folder(spark))
+    return name
+
+
+@query
+def insert_select_pilots(spark: SparkSession, folder: str) -> DataFrame:
+    """Pilots appended to a catalog table as newly opened versions, by column name."""
+    name = _ddl_namespace(spark)
+    ensure_namespace(spark, name, {"pilots": WAREHOUSE_TABLES["pilots"]})
+    spec = SPECS["pilots"]
+    rows = project_source(snapshot_table(spark, folder, spec.name), spec)
+    select = rows.select(*reversed(rows.columns), (F.col("pilot_id") + 1).alias("pilot_sk"))
+    insert_select(select, f"{name}.pilots", 1, spec.source_id, LOAD_TS[1])
+    return shown(spark.table(f"{name}.pilots"))
+
+
+@query
+def truncated_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of the tables of a namespace before and after it is emptied."""
+    name, tables = _ddl_namespace(spark), ("pilots", "airplanes")
+    ensure_namespace(spark, name, {t: OPERATIONAL[t] for t in tables})
+
+    def counted(column: str) -> DataFrame:
+        parts = [spark.table(f"{name}.{t}").agg(F.count("*").alias(column)).withColumn("table_name", F.lit(t))
+                 for t in tables]
+        return stage(reduce(DataFrame.unionByName, parts), f"{name}-{column}")
+
+    for table in tables:
+        append_by_name(snapshot_table(spark, folder, table), f"{name}.{table}")
+    before = counted("n_before")
+    truncate_namespace(spark, name)
+    return before.join(counted("n_after"), "table_name")
+
+
 # -- key resolution ----------------------------------------------------------------
 
 
@@ -201,6 +295,13 @@ def scd2_as_of(spark: SparkSession, folder: str) -> DataFrame:
     return shown(lineage.as_of(versions, "2024-06-01 12:00:00"))
 
 
+@query
+def scd2_as_of_later(spark: SparkSession, folder: str) -> DataFrame:
+    """The flights valid after the second batch."""
+    versions = two_batches(spark, folder).versions("flights")
+    return shown(lineage.as_of(versions, "2024-06-02 12:00:00"))
+
+
 @query
 def scd2_latest(spark: SparkSession, folder: str) -> DataFrame:
     versions = two_batches(spark, folder).versions("flights")
@@ -298,14 +399,14 @@ def star_refresh(spark: SparkSession, folder: str) -> DataFrame:
     """Every row of the batch 1 star brought up to date."""
     loads = two_batches(spark, folder)
     fresh = refresh_star(loads.star(1), loads.warehouse(2), since=2)
-    return keys_of((name, fresh[name]) for name in KEYS)
+    return rows_of((name, fresh[name]) for name in KEYS)
 
 
 @query
 def star_all_versions(spark: SparkSession, folder: str) -> DataFrame:
     """Every row of a star built over all versions."""
     star = build_star(spark, two_batches(spark, folder).warehouse(2), mode="all")
-    return keys_of((name, star[name]) for name in KEYS)
+    return rows_of((name, star[name]) for name in KEYS)
 
 
 # -- batches -----------------------------------------------------------------------
@@ -329,7 +430,7 @@ QUERIES["batch_reviews_streamed"] = _published("airline_reviews")
 def batch_star(spark: SparkSession, folder: str) -> DataFrame:
     """Every row of the star tables as the batches published them."""
     runner = two_batches(spark, folder).pipeline()
-    return keys_of((name, spark.table(f"{runner.names.star}.{name}")) for name in KEYS)
+    return rows_of((name, spark.table(f"{runner.names.star}.{name}")) for name in KEYS)
 
 
 @query
@@ -364,6 +465,14 @@ def batch_close_missing_streamed(spark: SparkSession, folder: str) -> DataFrame:
     return shown(spark.table(f"{runner.names.warehouse}.airline_reviews"))
 
 
+@query
+def batch_timed(spark: SparkSession, folder: str) -> DataFrame:
+    """Airports after a timed load that found no review files."""
+    return shown(spark.table(
+        f"{two_batches(spark, folder).timed().names.warehouse}.airports"
+    ))
+
+
 # -- audits ------------------------------------------------------------------------
 
 
@@ -403,10 +512,31 @@ def audit_unique(spark: SparkSession, folder: str) -> DataFrame:
     return audit.duplicates(lines, ["l_orderkey", "l_linenumber"])
 
 
+@query
+def audit_warehouse(spark: SparkSession, folder: str) -> DataFrame:
+    """All constraints of warehouse and star, with rows that break each kind."""
+    loads = two_batches(spark, folder)
+    star, warehouse = dict(loads.star()), loads.warehouse(2)
+    tables = {name: warehouse.versions(name) for name in SPECS}
+    tables["pilots"] = tables["pilots"].where("pilot_id % 7 <> 0")
+    star["dim_airport"] = star["dim_airport"].unionByName(
+        star["dim_airport"].where("airport_sk % 2 = 0"))
+    star["fact_booking"] = star["fact_booking"].withColumn(
+        "seat_number", F.expr("CASE WHEN flight_booking_sk % 5 <> 0 THEN seat_number END"))
+    star["dim_flight"] = star["dim_flight"].withColumn(
+        "status", F.expr("CASE WHEN flight_sk % 3 = 0 THEN 'lost' ELSE status END"))
+    star["dim_date"] = star["dim_date"].where("year < 1998")
+    return audit.constraint_violations(
+        tables | star, WAREHOUSE_TABLES | STAR_TABLES, WAREHOUSE_CONSTRAINTS | STAR_CONSTRAINTS
+    )
+
+
 @query
 def audit_unique_registration(spark: SparkSession, folder: str) -> DataFrame:
+    """Registration numbers that occur more than once, some of them repeated by rule."""
+    airplanes = snapshot_table(spark, folder, "airplanes", 2)
     return audit.duplicates(
-        snapshot_table(spark, folder, "airplanes", 2), ["registration_number"]
+        airplanes.unionByName(airplanes.where("id % 4 = 0")), ["registration_number"]
     )
 
 
@@ -421,7 +551,10 @@ def audit_fk(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def audit_single_current(spark: SparkSession, folder: str) -> DataFrame:
-    return audit.several_current(two_batches(spark, folder).versions("flights"), ["flight_id"])
+    """Flights with several current versions, after some closed versions are opened again."""
+    versions = two_batches(spark, folder).versions("flights")
+    opened = F.when(F.col("flight_id") % 2 == 0, max_timestamp()).otherwise(F.col("end_date"))
+    return audit.several_current(versions.withColumn("end_date", opened), ["flight_id"])
 
 
 @query
@@ -463,7 +596,18 @@ def audit_continuity(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def audit_rules(spark: SparkSession, folder: str) -> DataFrame:
-    return audit.rule_violations(_flights(spark, folder))
+    """Rules that flights break, some of them by changes that break one rule each."""
+    row = F.col("id")
+    flights = _flights(spark, folder).withColumns(
+        {"arrival_time": F.when(row % 23 == 0, F.expr("arrival_time + INTERVAL '5' MINUTE"))
+                          .otherwise(F.col("arrival_time")),
+         "estimated_flight_hours": F.when(row % 29 == 0, 4.0).otherwise(F.col("estimated_flight_hours")),
+         "arrival_airport_id": F.when(row % 31 == 0, F.col("departure_airport_id"))
+                                .otherwise(F.col("arrival_airport_id")),
+         "copilot_id": F.when(row % 37 == 0, F.col("pilot_id")).otherwise(F.col("copilot_id")),
+         "is_ferry_flight": F.col("is_ferry_flight") | (row % 41 == 0)}
+    )
+    return audit.rule_violations(flights)
 
 
 @query

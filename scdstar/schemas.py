@@ -200,6 +200,69 @@ STAR_TABLES: dict[str, T.StructType] = {
 }
 
 
+WAREHOUSE_CONSTRAINTS: dict[str, Constraints] = {
+    "pilots": Constraints(("pilot_sk",)),
+    "cabin_crew": Constraints(("cabin_crew_sk",)),
+    "customers": Constraints(("customer_sk",)),
+    "airports": Constraints(("airport_sk",)),
+    "airplanes": Constraints(("airplane_sk",)),
+    "flights": Constraints(
+        ("flight_sk",),
+        references=(
+            ("departure_airport_sk", "airports"), ("arrival_airport_sk", "airports"),
+            ("pilot_sk", "pilots"), ("copilot_sk", "pilots"), ("airplane_sk", "airplanes"),
+        ),
+        enums=(("status", FLIGHT_STATUSES),),
+    ),
+    "flight_cabin_crew": Constraints(
+        ("flight_cabin_crew_sk",),
+        references=(("flight_sk", "flights"), ("cabin_crew_sk", "cabin_crew")),
+    ),
+    "flight_bookings": Constraints(
+        ("flight_booking_sk",),
+        references=(("flight_sk", "flights"), ("customer_sk", "customers")),
+    ),
+    "airline_reviews": Constraints(
+        ("airline_review_sk",),
+        references=(("flight_sk", "flights"), ("customer_sk", "customers")),
+    ),
+}
+
+STAR_CONSTRAINTS: dict[str, Constraints] = {
+    "dim_airport": Constraints(("airport_sk",)),
+    "dim_airplane": Constraints(("airplane_sk",)),
+    "dim_pilot": Constraints(("pilot_sk",)),
+    "dim_customer": Constraints(("customer_sk",)),
+    "dim_flight": Constraints(
+        ("flight_sk",),
+        references=(
+            ("departure_airport_sk", "dim_airport"), ("arrival_airport_sk", "dim_airport"),
+            ("airplane_sk", "dim_airplane"), ("pilot_sk", "dim_pilot"), ("copilot_sk", "dim_pilot"),
+        ),
+        enums=(("status", FLIGHT_STATUSES),),
+    ),
+    "dim_date": Constraints(("date_sk",)),
+    "fact_flight": Constraints(
+        ("flight_sk",),
+        references=(
+            ("flight_sk", "dim_flight"), ("departure_date_sk", "dim_date"),
+            ("arrival_date_sk", "dim_date"),
+        ),
+    ),
+    "fact_booking": Constraints(
+        ("flight_booking_sk",),
+        references=(("flight_sk", "dim_flight"), ("customer_sk", "dim_customer")),
+    ),
+    "fact_review": Constraints(
+        ("airline_review_sk",),
+        references=(
+            ("flight_sk", "dim_flight"), ("customer_sk", "dim_customer"),
+            ("date_published_sk", "dim_date"),
+        ),
+    ),
+}
+
+
 def timestamp(value: str) -> Column:
     """A zone-less timestamp literal."""
     return F.lit(value).cast("timestamp_ntz")

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from scdstar.schemas import AIRLINE, OPERATIONAL
 
 
-def read_parquet(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """All operational tables from ``<folder>/<table>``, with their declared schemas."""
+def read_parquet(
+    spark: SparkSession, folder: str, tables: Iterable[str] = OPERATIONAL
+) -> dict[str, DataFrame]:
+    """Operational tables from ``<folder>/<table>``, with their declared schemas."""
     return {
-        name: spark.read.schema(schema).parquet(f"{folder}/{name}")
-        for name, schema in OPERATIONAL.items()
+        name: spark.read.schema(OPERATIONAL[name]).parquet(f"{folder}/{name}") for name in tables
     }
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from scdstar.functions.columns import (
@@ -13,6 +15,7 @@ from scdstar.functions.columns import (
     strip,
 )
 from scdstar.schemas import RAW_REVIEWS, STAGED_REVIEWS
+from scdstar.sources.split_csv import read_split_csv
 
 # The scores whose non-zero mean is the rating (the seat is not one).
 RATED = (
@@ -33,11 +36,16 @@ def _csv_options(multiline: bool) -> dict[str, object]:
             "mode": "FAILFAST"}
 
 
-def read_raw_reviews(spark: SparkSession, path: str) -> DataFrame:
+def read_raw_reviews(
+    spark: SparkSession, path: str | Sequence[str], split: bool = False
+) -> DataFrame:
     """Raw reviews: 14 text columns, bound by position.
 
-    Texts may hold line breaks, so one file is one task; supply many files.
+    Texts may hold line breaks, so one file is one task, unless ``split`` cuts files
+    by quote parity (see :mod:`scdstar.sources.split_csv`).
     """
+    if split:
+        return read_split_csv(spark, path, RAW_REVIEWS)
     return spark.read.schema(RAW_REVIEWS).options(**_csv_options(True)).csv(path)
 
 
@@ -87,12 +95,17 @@ def parse_staged_text(text: DataFrame) -> DataFrame:
     return text.select(*typed)
 
 
-def read_staged_reviews(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+def read_staged_reviews(
+    spark: SparkSession, path: str | Sequence[str], multiline: bool = True, split: bool = False
+) -> DataFrame:
     """Cleansed reviews: 12 columns, bound by position.
 
     Files written by ``write_reviews`` hold no line feeds inside cells and may be
-    read with ``multiline=False``, which lets Spark split large files.
+    read with ``multiline=False``, which lets Spark split large files. With ``split``, files
+    with line feeds inside cells are split as well.
     """
+    if split:
+        return parse_staged_text(read_split_csv(spark, path, STAGED_TEXT))
     reader = spark.read.schema(STAGED_TEXT).options(**_csv_options(multiline))
     if not multiline:
         reader = reader.option("lineSep", "\n")
@@ -106,6 +119,15 @@ def _with_micros(ts: Column) -> Column:
     return F.rpad(dotted, 26, "0")
 
 
+def write_raw_reviews(raw: DataFrame, path: str) -> None:
+    """Write raw reviews as CSV files with a header each, cells as they are."""
+    (
+        raw.select(*RAW_REVIEWS.names).write.options(header=True, quote='"', escape='"', lineSep="\n")
+        .options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, emptyValue="")
+        .mode("overwrite").csv(path)
+    )
+
+
 def write_reviews(reviews: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
     """Write cleansed reviews as CSV files with a header each."""
     text = reviews.select(*STAGED_REVIEWS.names).withColumns(

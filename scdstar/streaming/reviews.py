@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping
 from datetime import UTC, datetime
 
@@ -10,11 +11,14 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from scdstar.plans.batch import Pipeline
 from scdstar.session import shared_folder
-from scdstar.sources.reviews import STAGED_TEXT, parse_staged_text
+from scdstar.sources.reviews import read_staged_reviews
 
 # Fixed value: time between incremental loads.
 CADENCE = "5 minutes"
 
+#: What Spark tells of a file; its content is not read.
+FILES = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def utc_now() -> str:
     return datetime.now(UTC).strftime("%Y-%m-%d %H:%M:%S.%f")
@@ -35,7 +39,9 @@ def load_every(
     spark = pipeline.spark
 
     def load(rows: DataFrame, epoch: int) -> None:
-        pipeline.run_batch(operational(), None, clock())
+        # An epoch that is replayed after a failure is loaded once.
+        query = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        pipeline.run_epoch(f"timed/{query}", epoch, operational(), None, clock())
 
     return (
         spark.readStream.format("rate").option("rowsPerSecond", 1).load()
@@ -66,24 +72,23 @@ def stream_reviews(
     the warehouse, so there is no watermark; an epoch that is replayed after a
     failure is loaded once. A stream with a new checkpoint loads all files it finds.
     """
-    spark = pipeline.spark
-    text = (
-        spark.readStream.schema(STAGED_TEXT)
-        .options(header=True, quote='"', escape='"', multiLine=True, mode="FAILFAST")
-        .csv(folder)
-    )
+    # The stream tells which files are new, whose names the driver lists anyway; contents are read
+    # by the split reader, so that a large file is many tasks.
+    files = pipeline.spark.readStream.schema(FILES).format("binaryFile").load(folder).select("path")
 
     def load(rows: DataFrame, epoch: int) -> None:
         # Epochs count within a checkpoint, which keeps the id of the query.
         query = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        pipeline.run_epoch(
-            f"{name}/{query}", epoch, operational(), parse_staged_text(rows), clock()
-        )
+        paths = [re.sub(r"([\\*?\[\]{}])", r"\\\1", r.path) for r in rows.collect()]
+        reviews = read_staged_reviews(pipeline.spark, paths, split=True) if paths else None
+        pipeline.run_epoch(f"{name}/{query}", epoch, operational(), reviews, clock())
 
     writer = (
-        text.writeStream.queryName(name)
+        files.writeStream.queryName(name)
         .foreachBatch(load)
-        .option("checkpointLocation", checkpoint or f"{shared_folder(spark)}/streams/{name}")
+        .option(
+            "checkpointLocation", checkpoint or f"{shared_folder(pipeline.spark)}/streams/{name}"
+        )
     )
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return writer.trigger(**trigger).start()
