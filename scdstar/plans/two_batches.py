@@ -44,6 +44,7 @@ class TwoBatches:
         self._merges: dict[tuple[str, int], Merge] = {}
         self._stars: dict[int, dict[str, DataFrame]] = {}
         self._pipeline: Pipeline | None = None
+        self._timed: Pipeline | None = None
 
     def source(self, table: str, batch: int) -> DataFrame:
         return snapshot_table(self.spark, self.folder, table, batch)
@@ -167,6 +168,11 @@ class TwoBatches:
 
     def timed(self) -> Pipeline:
         """Batch 1 without reviews, and then the airports of batch 2 by a timed load."""
+        if self._timed is None:
+            self._timed = self._load_on_time()
+        return self._timed
+
+    def _load_on_time(self) -> Pipeline:
         runner = self._new_pipeline()
         tables, reviews = snapshot(self.spark, self.folder, 1)
         runner.run_initial(tables, reviews.limit(0), LOAD_TS[1])

@@ -159,16 +159,16 @@ def test_random_batches_keep_the_star_equal_to_a_rebuild(spark, monkeypatch):
     generator = random.Random(11)
     runner = Pipeline(spark, names("rnd"), buckets=2)
     before = None
-    for batch in range(1, 7):
+    for batch in range(1, 5):
         tables, reviews = random_sources(spark, generator, batch)
-        if batch == 4:  # some tables only
+        if batch == 3:  # some tables only
             tables, reviews = {n: tables[n] for n in ("flights", "airports")}, None
         load_ts = f"2024-06-0{batch} 00:00:00"
         (runner.run_initial if batch == 1 else runner.run_batch)(tables, reviews, load_ts)
         warehouse = runner.warehouse(runner.state(), batch)
         star = build_star(spark, warehouse)
         for name in STAR_TABLES:
-            if name != "dim_date" or batch == 6:
+            if name != "dim_date":
                 assert rows(spark.table(f"rnd_star.{name}")) == rows(star[name]), (batch, name)
         for name, spec in SPECS.items():
             found = spark.table(f"rnd_warehouse.{name}")
@@ -184,8 +184,7 @@ def test_random_batches_keep_the_star_equal_to_a_rebuild(spark, monkeypatch):
             assert before <= set(map(tuple, now.collect()))
         before = set(map(tuple, spark.table("rnd_warehouse.flights").select(
             "flight_sk", "flight_id", "insert_id").collect()))
-        for found in (runner.violations(),):
-            assert found.collect() == []
+    assert runner.violations().collect() == []
     merged = [s for s in runner.state().values() if s.since > 1 or len(s.parts) > 1]
     assert merged and all(len(s.parts) <= 5 for s in runner.state().values())
     reset(spark, runner.names)
