@@ -50,14 +50,18 @@ FAVOUR, CONTROL = 2, 60
 
 #: What a page's markup consists of: raw elements whole, then comments, tags, declarations.
 _MARKUP = re.compile(
-    r"<(?P<raw>script|style|noscript|template|textarea|title|iframe|svg|math|object)\b[^>]*>"
+    r"<(?P<raw>script|style|noscript|template|textarea|title|iframe|svg|object"
+    r"|annotation(?:-xml)?)\b[^>]*>"
     r".*?(?:</(?P=raw)\s*>|\Z)|<!--.*?(?:-->|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attributes>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>"
     r"|<[/!?a-zA-Z][^>]*(?:>|\Z)",
     re.S | re.I,
 )
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HIDDEN = re.compile(r"(?:\s|^)hidden(?:[\s=/]|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+#: The attribute itself; a class may be called so for small screens only.
+_HIDDEN = re.compile(r"(?:\s|^)hidden(?:[\s=/]|$)", re.I)
+_UNSHOWN = re.compile(r"\bstyle\s*=\s*[\"']?[^\"']*display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_VALUES = re.compile(r"\"[^\"]*\"|'[^']*'")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset"
@@ -71,24 +75,26 @@ _DROPPED = frozenset(
 _FORMS = frozenset(("form", "fieldset"))
 #: Words in a class, id or role that mark boilerplate, but that wrappers of a page have as well.
 _LOOSE = frozenset(
-    "banner footer form header login masthead menu menubar modal nav navbar navigation newsletter"
-    " notice notification pagination popup search share sharing sidebar signup skip social subscribe"
+    "alert banner footer form header login masthead menu menubar modal nav navbar navigation newsletter"
+    " notice notification pagination popup reviews search share sharing sidebar signup skip social subscribe"
     " tags toolbar widget".split()
 )
 #: Words that mark boilerplate however long it is.
 _FIRM = frozenset(
     "ad ads advert adverts advertisement advertising adsense breadcrumb breadcrumbs comment comments"
     " commentlist complementary contentinfo cookie cookies consent copyright disclaimer disqus"
-    " discussion gdpr paywall promo promotion recommended related replies respond sponsor"
-    " sponsored".split()
+    " discussion feedback gdpr paywall promo promotion recommended related replies respond responses"
+    " sponsor sponsored".split()
 )
+#: Of these, words that are headings of texts as well: judged by what a section holds.
+_HEADINGS = frozenset(("discussion", "related"))
 #: First and last words of compounds that name a state or a subject.
 _STATE_FIRST = frozenset("with without no not has have hide".split())
 _STATE_LAST = frozenset("enabled disabled open opened closed on off".split())
 _SUBJECT_FIRST = frozenset(("tag", "category"))
 #: What stands inside a text, so that its removal leaves no gap.
 _INLINE = frozenset(
-    "form fieldset aside button select audio video canvas map option datalist dialog"
+    "form fieldset aside button select audio video canvas map option datalist dialog alert"
     " ad ads advert adverts advertisement advertising adsense banner login newsletter notice"
     " notification pagination paywall popup promo promotion recommended related share sharing signup"
     " social sponsor sponsored subscribe tags toolbar widget".split()
@@ -101,8 +107,9 @@ _OWN_CLOSE = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("
               "td": ("tr",), "th": ("tr",), "option": ("select",)}
 
 
-#: Why an element may be dropped: not, by what it is, by a word of either kind or as a form, hidden.
-STAYS, ALWAYS, FIRM, LOOSE, HIDDEN = range(5)
+#: Why an element may be dropped: not, by what it is, by a word of either kind or as a form, hidden, or
+#: as a section whose name may be a heading.
+STAYS, ALWAYS, FIRM, LOOSE, HIDDEN, HEADING = range(6)
 
 
 def _words(tag: str, attributes: str) -> Iterator[str]:
@@ -126,12 +133,17 @@ def _boilerplate(tag: str, attributes: str) -> tuple[int, bool]:
     kind, gap = (LOOSE, False) if tag in _FORMS else (STAYS, False)
     if not attributes or tag in ("html", "body"):
         return kind, gap
-    if tag not in _MAIN and _HIDDEN.search(attributes):
+    if tag not in _MAIN and (
+        _HIDDEN.search(_VALUES.sub('""', attributes)) or _UNSHOWN.search(attributes)
+    ):
         return HIDDEN, False
     for word in _words(tag, attributes):
         if word in _FIRM or word in _LOOSE:
             gap = gap or word not in _INLINE
-            kind = FIRM if word in _FIRM or kind == FIRM else LOOSE
+            if tag == "section" and word in _HEADINGS and kind in (STAYS, HEADING):
+                kind = HEADING
+            else:
+                kind = FIRM if word in _FIRM or kind in (FIRM, HEADING) else LOOSE
     return kind, gap
 
 
@@ -255,6 +267,9 @@ class _Lines:
         for node in nodes[1:]:
             node.inside = node.tag in _MAIN or nodes[node.up].inside
         for node in reversed(nodes[1:]):  # what a node holds comes after it
+            if node.kind == HEADING:  # prose of the article around it, without links, forms or cards
+                prose = node.inside and node.plain > 0 and not node.linked + node.controls + node.sheltered
+                node.kind = STAYS if prose else FIRM
             if node.tag in _MAIN:
                 node.sheltered = node.plain
             if node.kind in (ALWAYS, HIDDEN) or node.kind == FIRM and not node.heads:
@@ -353,6 +368,8 @@ def _beside(lines: _Lines, rows: list[tuple[str, int, int]], region: tuple[int,
             linked = []
         else:
             linked.append(i)
+    if len(linked) == 1 and out and nodes[rows[linked[0]][2]].tag == "p":
+        out.update(linked)  # a paragraph that is one link, where menus are lists
     return out
 
 

@@ -71,3 +71,31 @@ def test_named_parts_go_unless_nothing_else_is_left():
     assert main_text("<h1>Blog</h1>" + "".join(f"<div class='post share'>{p}</div>" for p in posts)) == "\n".join(["Blog", *posts])
     assert main_text(f"<div class=cookie-text>{words(50, 'c')}</div>") == words(50, "c")
     assert main_text("<nav>Menu</nav>") == ""
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<article><p>If <math><mi>a</mi><mo>=</mo><mi>b</mi></math> then.</p></article>", "If a=b then."),
+        ("<article><p>If <math><semantics><mi>a</mi><annotation encoding=tex>\\a</annotation></semantics></math>.</p></article>", "If a."),
+        (f"<article>{BODY}<p class='mt-2 hidden md:block'>Shown.</p></article>", f"{TEXT}\nShown."),
+        (f"<article>{BODY}<p hidden>no</p><p style='color:red; display:none'>no</p><p>End.</p></article>", f"{TEXT}\nEnd."),
+        (f"<article>{BODY}<section id='discussion'><h2>Discussion</h2><p>{words(200, 'd')}</p></section></article>", f"{TEXT}\nDiscussion\n{words(200, 'd')}"),
+        (f"<article>{BODY}<section id='related-work'><h2>Related work</h2><p>{words(200, 'd')}</p></section></article>", f"{TEXT}\nRelated work\n{words(200, 'd')}"),
+        (f"<article>{BODY}<section class='related'><a href=x>{words(200, 'd')}</a></section></article>", TEXT),
+        (f"<article>{BODY}</article><section class='discussion'><p>{words(200, 'd')}</p></section>", TEXT),
+        (f"<div id=content>{BODY}<p><a href=x>Read the whole report</a></p></div>", f"{TEXT}\nRead the whole report"),
+        (f"<article>{BODY}</article><ol class='user-responses'><li>{words(300, 'z')}</li></ol>", TEXT),
+        (f"<article>{BODY}<div class='reader-feedback'><p>{words(300, 'z')}</p></div></article>", TEXT),
+        (f"<article>{BODY}<section class='reviews'><p>{words(300, 'z')}</p></section></article>", TEXT),
+        (f"<article>{BODY}<div class='alert'>We use cookies.</div><p>End.</p></article>", f"{TEXT}\nEnd."),
+    ],
+)
+def test_formulas_hidden_parts_sections_and_comments(page, text):
+    assert main_text(page) == text
+
+
+def test_unclosed_markup_of_great_length():
+    assert main_text("<article><p>yes</p>" + "<p title='" + "x" * 2_000_000).startswith("yes")
+    assert main_text("<article><p>yes</p><div " + "a=1 " * 300_000).startswith("yes")
+    assert main_text("<article><p " + "class='a' " * 200_000 + ">yes</p></article>") == "yes"
