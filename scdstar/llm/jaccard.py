@@ -267,9 +267,27 @@ def jaccard_classes(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFr
 
 
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` without near duplicates: of each component the smallest
-    ``doc_id`` stays, once; rows without a ``doc_id`` all stay."""
-    found = jaccard_classes(docs, size, percent)
-    first = found.filter("doc_id = component_id").select("doc_id").distinct()
-    once = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    """The rows of ``docs`` without near duplicates: of each group of texts one stays, once,
+    that of the smallest ``doc_id``; rows without a ``doc_id`` all stay.
+
+    Different texts of one ``doc_id`` are documents of their own. They are grouped under a hash of
+    id and text that is greater than usual ids, so that of a group with others the others stay.
+    """
+    text = F.coalesce("text", F.lit(""))
+    keyed = docs.filter("doc_id IS NOT NULL").select(
+        F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+        text.alias("text"), F.xxhash64(text).alias("h"),
+    )
+    several = stage(
+        keyed.groupBy("doc_id").agg(F.min("h").alias("least"), F.max("h").alias("most"))
+        .filter("least <> most").select(F.col("doc_id").alias("several")),
+        "jaccard-several",
+    )
+    own = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64("doc_id", "h"), 2)
+    keyed = keyed.join(several, F.col("doc_id") == F.col("several"), "left").withColumn(
+        "key", F.when(F.col("several").isNull(), F.col("doc_id")).otherwise(own)
+    )
+    found = jaccard_classes(keyed.select(F.col("key").alias("doc_id"), "text"), size, percent)
+    first = found.filter("doc_id = component_id").select(F.col("doc_id").alias("key")).distinct()
+    once = keyed.join(first, "key", "left_semi").dropDuplicates(["key"]).select("row.*")
     return once.unionByName(docs.filter("doc_id IS NULL"))

@@ -57,12 +57,26 @@ def test_chains_and_hubs_keep_every_link(spark):
 
 
 def test_keep_one_leaves_one_of_each_group_and_rows_without_id(docs):
+    """Texts of one id that differ are documents of their own, and all of them stay."""
     kept = keep_one(docs, 5, 80)
     assert kept.columns == docs.columns
-    ids = [r.doc_id for r in kept.collect()]
-    expected = {i for i, c in brute(awkward(), 5, 80).items() if i == c}
-    assert sorted(i for i in ids if i is not None) == sorted(expected)
-    assert ids.count(None) == 2
+    # Brute force over texts: numbered by id, ids with several texts after the others.
+    several = {i for i, _ in awkward() if len({t for j, t in awkward() if j == i}) > 1} - {None}
+    texts = sorted({(i in several, i, t or "") for i, t in awkward() if i is not None})
+    expected = {n for n, c in brute([(n, t) for n, (_, _, t) in enumerate(texts)], 5, 80).items() if n == c}
+    found = [(r.doc_id, r.text or "") for r in kept.collect() if r.doc_id is not None]
+    assert sorted(found) == sorted((texts[n][1], texts[n][2]) for n in expected)
+    assert [i for i, _ in found].count(20) == 2
+    assert kept.filter("doc_id IS NULL").count() == 2
+
+
+def test_keep_one_does_not_depend_on_the_order_of_rows(spark):
+    first, second, third = sentence(1, 90), sentence(2, 90), sentence(4, 90)
+    rows = [(5, first), (5, second), (9, second + " end"), (7, third), (5, first)]
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id bigint, text string").repartition(3)
+        found = sorted((r.doc_id, r.text) for r in keep_one(docs).collect())
+        assert found == sorted([(5, first), (9, second + " end"), (7, third)])
 
 
 def test_empty_table(none):
