@@ -16,6 +16,8 @@ from check import connect, difference
 from scdstar.llm.common import table
 from scdstar.llm.queries import QUERIES, SQL
 
+from awkward import awkward, sentence
+
 ROOT = Path(__file__).resolve().parents[2]
 
 
@@ -25,9 +27,9 @@ def test_queries_match_their_sql(spark, small, name):
     assert difference(QUERIES[name](spark, small), expected) is None
 
 
-def test_all_eleven_are_registered():
+def test_all_are_registered():
     names = __spark_entry__.queries()
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
 
 
 def test_nothing_else_imports_the_subpackage():
@@ -67,3 +69,33 @@ def test_an_empty_table_goes_through(spark, small, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         table(spark, small, name).limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_awkward_rows_go_through(spark, tmp_path):
+    """Nulls, blank and very long texts, repeated rows, one id with two texts: what is left is the same
+    on every run, and each row is a document of its own in the files."""
+    rows = [(i, t, None if i == 11 else "en", "s", 0) for i, t in awkward()]
+    spark.createDataFrame(
+        rows, "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    ).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(
+        [(1, 1, 0), (8, 0, 0), (None, 1, 0), (3, None, None), (11, 1, 0), (11, 0, 1)],
+        "doc_id bigint, quality bigint, toxic bigint",
+    ).write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame(
+        [(1, sentence(6, 30)), (None, None), (2, ""), (3, "no such passage in any of the texts")],
+        "item_id bigint, text string",
+    ).write.parquet(f"{tmp_path}/benchmark.parquet")
+    first, second = (
+        sorted(map(tuple, corpus_pipeline.run(spark, str(tmp_path)).collect()), key=lambda r: r[1])
+        for _ in range(2)
+    )
+    assert first == second
+    enough = Counter(i for i, t in set(awkward()) if len((t or "").split()) >= 50)
+    assert {r[0] for r in first} <= set(enough)
+    at = 0
+    for _, start, n_tokens, _ in first:
+        assert start == at
+        at += n_tokens
+    # Copies of 1 are gone, and so is the text of 20 that holds the benchmark item.
+    assert not {2, 3} & {r[0] for r in first}
