@@ -177,10 +177,19 @@ FROM n JOIN reach ON reach.doc_id = n.doc_id GROUP BY 1, 2
     "op4_decontamination": f"""
 WITH d AS ({_shingles("documents", "doc_id", 5)}),
 b AS ({_shingles("benchmark", "item_id", 5)}),
-n AS (SELECT item_id, count(*) AS n FROM b GROUP BY 1)
-SELECT doc_id, b.item_id, n.n AS n_shingles, count(*) AS n_shared
-FROM b JOIN d ON d.g = b.g JOIN n ON n.item_id = b.item_id
+n AS (SELECT item_id, count(*) AS n FROM b GROUP BY 1),
+long AS (SELECT item_id, g FROM b WHERE len(string_split(g, ' ')) = 5),
+short AS (SELECT item_id, g FROM b WHERE len(string_split(g, ' ')) < 5),
+spaced AS (
+  SELECT doc_id, ' ' || trim(regexp_replace(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+', ' ', 'g')) || ' ' AS t
+  FROM documents WHERE text IS NOT NULL
+)
+SELECT doc_id, long.item_id, n.n AS n_shingles, count(*) AS n_shared
+FROM long JOIN d ON d.g = long.g JOIN n ON n.item_id = long.item_id
 GROUP BY 1, 2, 3 HAVING 100 * count(*) >= 80 * n.n
+UNION
+SELECT doc_id, item_id, 1, 1 FROM short JOIN spaced ON contains(t, ' ' || g || ' ')
 """,
     "op10_reply_trees": r"""
 WITH c AS (

@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from random import Random
 
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 
+from scdstar.llm import contain
 from scdstar.llm.contain import contained_items, decontaminate
 from scdstar.llm.jaccard import jaccard_classes, keep_one, parts, parts_allow
 from scdstar.llm.shingles import shingle_set
@@ -118,3 +120,52 @@ def test_containment_of_empty_tables(spark, docs, none):
     items = spark.createDataFrame([(1, "a b c d e f")], "item_id bigint, text string")
     assert contained_items(none, items).count() == 0
     assert contained_items(docs, items.limit(0)).count() == 0
+
+
+def test_short_items_are_found_inside_longer_documents(spark):
+    texts = {1: "see The  quick\nFOX runs over twelve hills and many more of them", 2: "quick fox", 3: "fox quick runs",
+             4: "the quick fox runs", 5: "thequick fox runs", 6: sentence(2, 400) + " fox", 7: None, 8: "fox"}
+    items = {1: "the quick fox runs", 2: "quick fox", 3: "fox", 4: "quick fox runs over twelve", 5: "runs over many"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    benchmark = spark.createDataFrame(list(items.items()), "item_id bigint, text string")
+    expected = {
+        (d, i) for d, t in texts.items() for i, u in items.items()
+        if f" {' '.join(u.lower().split())} " in f" {' '.join((t or '').lower().split())} "
+    }
+    for exact in (False, True):
+        assert {(r.doc_id, r.item_id) for r in contained_items(docs, benchmark, exact=exact).collect()} == expected
+
+
+def test_signatures_find_what_exact_search_finds_in_each_class(spark, monkeypatch):
+    monkeypatch.setattr(contain, "CHUNK", 64)  # candidates of a document in several groups
+    random = Random(5)
+    words = [f"v{k}" for k in range(30_000)]
+    items = [[random.choice(words) for _ in range(n)] for n in (6, 14, 25, 26, 40, 80, 300, 2000) for _ in range(6)]
+    documents = []
+    for length in (10, 100, 1000, 12_000):
+        for item in items:
+            kept = list(item)
+            for _ in range(random.choice((0, 0, 1, len(item) // 30))):  # near the threshold, on either side
+                kept[random.randrange(len(kept))] = "changed"
+            at = random.randrange(length)
+            filler = [random.choice(words) for _ in range(length)]
+            documents.append(" ".join(filler[:at] + kept + filler[at:]))
+    docs = spark.createDataFrame(list(enumerate(documents)), "doc_id bigint, text string").repartition(4)
+    benchmark = spark.createDataFrame([(k, " ".join(i)) for k, i in enumerate(items)], "item_id bigint, text string")
+    sets = [grams(" ".join(i), 5) for i in items]
+    expected = set()
+    for d, text in enumerate(documents):
+        own = grams(text, 5)
+        expected |= {(d, i, len(s), len(s & own)) for i, s in enumerate(sets) if 100 * len(s & own) >= 80 * len(s)}
+    assert len(expected) > 100 and any(contain.needed(n, 80) for *_, n, _ in expected)
+    for exact in (False, True):
+        assert {tuple(r) for r in contained_items(docs, benchmark, exact=exact).collect()} == expected
+
+
+def test_bins_that_items_need():
+    assert contain.needed(10, 80) == 0 and contain.needed(1, 80) == 0  # searched exactly
+    assert 1 <= contain.needed(30, 80) < contain.needed(100, 80) < contain.needed(1000, 80) < 1000
+    grams_ = shingle_set(" ".join(f"u{k}" for k in range(500)), 1)
+    first = contain.first_classes(grams_)
+    for width in (32, 64, 1024, 1 << 20):
+        assert set(contain.signature(grams_, width)) == set(grams_[first <= width])
