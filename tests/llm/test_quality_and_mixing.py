@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from scdstar.llm import mixing, quality
@@ -85,3 +87,76 @@ def test_mixing_of_awkward_rows(spark, docs, none):
     assert mixing.take(docs, labels(spark)).columns == docs.columns
     assert mixing.mix(none, labels(spark)).count() == 0
     assert mixing.take(none, labels(spark)).count() == 0
+
+
+@pytest.mark.parametrize("weights", [[0.6, 0.4], [0.02, 0.98], [0.5, 0.2, 0.3], [0.9, 0.05, 0.05]])
+def test_rates_reach_the_least_squares_of_brute_force(spark, weights):
+    """Projected gradient of numpy on the same problem, run until nothing moves; the optimum is unique
+    in the domains' tokens, not in the rates."""
+    random = np.random.default_rng(len(weights))
+    size = len(weights)
+    tokens = random.integers(0, 300, 60)
+    posterior = random.dirichlet(np.full(size, 0.3 if size == 3 else 5.0), 60)  # 5: no rates meet 2 %
+    rows = [(k, int(t), [float(x) for x in p]) for k, (t, p) in enumerate(zip(tokens, posterior))]
+    scored = spark.createDataFrame(rows, "doc_id bigint, n_tokens bigint, p array<double>")
+    rated, off = mixing.fit_rates(scored, weights, 0)
+    total = (tokens * posterior[:, 0]).sum() / weights[0]
+    matrix = (posterior * tokens[:, None]).T / total / np.array(weights)[:, None]
+    scale = np.sqrt(weights)[:, None]
+    a, goal = matrix * scale, np.ones(size) * scale[:, 0]
+    rate, step = np.ones(60), 1 / np.linalg.norm(a, 2) ** 2
+    for _ in range(200_000):
+        rate = np.maximum(0, rate - step * a.T @ (a @ rate - goal))
+    best = matrix @ rate - 1
+    found = {r.doc_id: r for r in rated.collect()}
+    assert all(r.rate >= 0 and (r.n_tokens or r.rate == 1) for r in found.values())
+    mine = matrix @ np.array([found[k].rate for k in range(60)]) - 1
+    assert mine == pytest.approx(off, abs=1e-9)
+    assert mine == pytest.approx(best, abs=4e-3)
+    far = max(map(abs, best)) > 0.01
+    assert far == (max(map(abs, off)) > 0.009) and (far or max(map(abs, off)) <= 1e-3)
+
+
+def test_posteriors_by_brute_force(spark):
+    """Buckets, log odds and shares of a model counted in Python; tokens are words, not pieces."""
+    rows, known = planted(200)
+    rows += [(1000, "  "), (1001, "a  b"), (1002, "a\tb c"), (1003, None), (1004, "#" * 9 + " x x x x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    domains = ["good", "poor"]
+    labelled = mixing.domain_labels(labels(spark, known))
+    model, priors, tables, temperature = mixing.train(docs, labelled, domains)
+    domain = {r.doc_id: r.domain for r in labelled.collect()}
+    made = {r.doc_id: r for r in mixing.features(docs).collect()}
+    assert [made[k].n_tokens for k in range(1000, 1005)] == [0, 2, 3, 0, 5]
+    assert list(made[1004].f) == [3, 3] and list(made[1003].f) == [0, 0]
+    fit = {r.doc_id for r in docs.filter("pmod(xxhash64(doc_id, 'fit'), 4) != 0").collect()}
+    cells = {d: Counter(b for k in fit for b in made[k].b if domain.get(k) == d) for d in domains}
+    for at, d in enumerate(domains):
+        logs = {
+            e: [math.log((cells[e][b] + mixing.SMOOTH) / (sum(cells[e].values()) + mixing.SMOOTH * mixing.BUCKETS))
+                for b in range(0, mixing.BUCKETS, 97)] for e in domains
+        }
+        mean = [sum(x) / 2 for x in zip(*logs.values())]
+        assert [model[at][b] for b in range(0, mixing.BUCKETS, 97)] == pytest.approx(
+            [x - m for x, m in zip(logs[d], mean)], abs=1e-5)
+    scored = {r.doc_id: r for r in mixing.posteriors(docs, (model, priors, tables, temperature)).collect()}
+    for k, r in scored.items():
+        score = [
+            sum(model[d][b] for b in made[k].b) / temperature + priors[d]
+            + sum(tables[d][j][v] for j, v in enumerate(made[k].f)) for d in (0, 1)
+        ]
+        total = sum(math.exp(x - max(score)) for x in score)
+        assert list(r.p) == pytest.approx([math.exp(x - max(score)) / total for x in score], abs=1e-6)
+
+
+def test_missed_targets_are_reported(spark):
+    rows, known = planted(200)
+    docs = spark.createDataFrame([r for r in rows if r[0] % 4], "doc_id bigint, text string")
+    with pytest.warns(UserWarning, match="poor"):  # there are no poor documents to repeat
+        mixed = mixing.mix(docs, labels(spark, known), {"good": 0.5, "poor": 0.5})
+    assert mixed.count() == docs.count()
+    _, off = mixing.solve(docs, labels(spark, known), {"good": 0.5, "poor": 0.5})
+    assert off["poor"] < -0.01
+    scored = spark.createDataFrame([(1, 9, [0.5, 0.5]), (2, 9, [0.9, 0.1])], "doc_id bigint, n_tokens bigint, p array<double>")
+    with pytest.raises(ArithmeticError):
+        mixing.fit_rates(scored, [0.75, 0.25], 0, rounds=1)
