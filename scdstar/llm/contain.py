@@ -237,8 +237,9 @@ def contained_items(
         found.join(items, "item_id").groupBy("doc_id", group.alias("group"))
         .agg(F.collect_list(F.struct("item_id", "words", "grams")).alias("items"))
     )  # about CHUNK shingles, or one item
+    # Candidates have a known size: if they are few, documents without any are not shuffled.
     verified = (
-        docs.join(asked, "doc_id").select("doc_id", "text", "items")
+        docs.join(found, "doc_id", "left_semi").join(asked, "doc_id").select("doc_id", "text", "items")
         .mapInArrow(_contained(size), "doc_id bigint, item_id bigint, n_shingles bigint, n_shared bigint")
         .filter(f"100 * n_shared >= {percent} * n_shingles")
     )
