@@ -1,12 +1,10 @@
 """Mixing sources to target weights: soft domain membership and nonnegative document rates.
 
-1. **Posteriors.** A labelled table trains multinomial naive Bayes over hashed words, with every
-   occurrence counted, and two discrete features: the share of symbol characters and the share of
-   words that are repeats. Words fall into ``BUCKETS`` by hash, so the model has a fixed size. At most
-   ``LABELLED`` labelled documents are used, a fixed bound; words are counted in three quarters of
-   them. As words are not independent, their log odds are divided by a temperature, of
-   ``TEMPERATURES`` the one that makes the other quarter likeliest. Each document is then scored on
-   its own row.
+1. **Posteriors.** A labelled table trains naive Bayes over three discrete features: how many
+   distinct words of the ``toxic`` and of the ``poor`` lexicon a text has, and its share of
+   symbol characters. Lexicons are the words that tell a domain from the others best among
+   at most ``LABELLED`` labelled documents, a fixed bound; they and the counts by feature and
+   domain are aggregations of bounded size. Each document is then scored on its own row.
 2. **Rates.** Document ``i`` with ``t_i`` tokens and posterior ``p_ik`` gets a rate
    ``r_i >= 0`` so that the expected tokens of each domain, ``sum_i r_i t_i p_ik``, come to
    the target share of the total. The least squares problem in all rates, with residuals
@@ -30,7 +28,7 @@ and sums by domain, and nothing else.
 Tokens are words here, runs of anything but the six ASCII white-space characters, counted JVM-side.
 
 Defined results: a null, empty or blank text has no tokens, the posteriors of a text without
-words, and rate 1, as it moves no total. Without labels every posterior is equal. Repeated
+lexicon words, and rate 1, as it moves no total. Without labels every posterior is equal. Repeated
 rows are documents of their own, with equal rates. Of several labels of one document the
 smallest quality and the largest toxic count. Further columns stay as they are.
 """
@@ -48,15 +46,12 @@ from scdstar.session import stage
 
 #: Bound on the labelled documents that train the classifier; those of the least id hash.
 LABELLED = 20_000
-#: Buckets of hashed words.
-BUCKETS = 1 << 14
-#: Added to each count of words in a bucket.
-SMOOTH = 0.1
-#: Divisors of the words' log odds to choose from.
-TEMPERATURES = (1, 2, 4, 8, 16, 32, 64)
-#: Bounds between the levels of the shares of symbol characters and of repeated words.
+#: Words of a lexicon, and the labelled documents that a word must occur in.
+LEXICON, SUPPORT = 64, 5
+#: Bounds between the levels of the share of symbol characters.
 SYMBOL_LEVELS = (0.002, 0.02, 0.05)
-REPEAT_LEVELS = (0.2, 0.4, 0.6, 0.8)
+#: Lexicon words from which on their number makes no difference.
+MOST_HITS = 3
 #: A residual, relative to its target, that is worth a warning.
 FAR = 0.01
 #: Domains and their target share of expected tokens.
@@ -77,75 +72,56 @@ def domain_labels(labels: DataFrame) -> DataFrame:
     )
 
 
-def features(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``n_tokens``, ``b``, the buckets of the words, and ``f``, the levels of the shares."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(F.struct(*docs.columns).alias("row"), text.alias("t"), words(F.lower(text)).alias("w"))
-    size = F.greatest(F.size("w"), F.lit(1))
+def lexicon(known: DataFrame, domain: str) -> list[str]:
+    """The words of highest log odds for ``domain`` in ``known(domain, w)``, at most LEXICON."""
+    mine = F.col("domain") == domain
+    size = known.agg(F.count(F.when(mine, 1)).alias("a"), F.count(F.when(~mine, 1)).alias("b")).first()
+    odds = (
+        known.select(mine.alias("mine"), F.explode(F.array_distinct("w")).alias("word"))
+        .filter("length(word) > 1").groupBy("word")
+        .agg(F.count(F.when(F.col("mine"), 1)).alias("a"), F.count("*").alias("n"))
+        .filter(f"a >= {SUPPORT}")
+        .withColumn("odds", F.log((F.col("a") + 0.5) / (size["a"] + 1.0))
+                    - F.log((F.col("n") - F.col("a") + 0.5) / (size["b"] + 1.0)))
+        .filter(f"odds > {math.log(4)}")
+        .orderBy(F.desc(F.col("odds") * F.sqrt("a")), "word").limit(LEXICON)
+    )
+    return [r.word for r in odds.select("word").collect()]
 
-    def level(share: Column, bounds: tuple[float, ...]) -> Column:
-        return sum((F.when(share >= bound, 1).otherwise(0) for bound in bounds), F.lit(0))
 
-    rows = rows.select(
-        "row", "w", (F.regexp_count("t", F.lit(r"[#*$%&|!<>]")) / F.greatest(F.length("t"), F.lit(1))).alias("s"),
-        ((F.size("w") - F.size(F.array_distinct("w"))) / size).alias("r"),
-    )
-    return rows.select(
+def features(docs: DataFrame, lexicons: list[list[str]]) -> DataFrame:
+    """``docs`` with ``n_tokens`` and ``f``, an array of levels: one for each lexicon, then
+    the symbols."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), text.alias("t"), words(F.lower(F.col("text"))).alias("w"))
+    share = F.regexp_count("t", F.lit(r"[#*$%&|!<>]")) / F.greatest(F.length("t"), F.lit(1))
+    hits = [
+        F.least(F.lit(MOST_HITS), F.size(F.array_intersect("w", F.array(*map(F.lit, chosen)))))
+        if chosen else F.lit(0)
+        for chosen in lexicons
+    ]
+    level = F.size(F.filter(F.array(*map(F.lit, SYMBOL_LEVELS)), lambda b: b <= F.col("share")))
+    return rows.withColumn("share", share).select(
         "row.*", F.size("w").cast("long").alias("n_tokens"),
-        F.transform("w", lambda w: F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int")).alias("b"),
-        F.array(level(F.col("s"), SYMBOL_LEVELS), level(F.col("r"), REPEAT_LEVELS)).alias("f"),
+        F.array(*hits, level).alias("f"),
     )
 
 
-def _doubles(values: list[float]) -> Column:
-    """A constant array, given as one string rather than as thousands of expressions."""
-    return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
-
-
-def with_odds(rows: DataFrame, model: list[list[float]]) -> DataFrame:
-    """``rows(b, ...)`` with ``odds``: for each domain the sum of its words' values in the model."""
-
-    def summed(values: Column) -> Column:
-        return F.aggregate("b", F.lit(0.0), lambda a, bucket: a + F.get(values, bucket))
-
-    return rows.withColumn("odds", F.array(*[summed(_doubles(table)) for table in model]))
-
-
-def _exps(priors: list[float], tables: list[list[list[float]]], temperature: float) -> Column:
-    """``exp(score - greatest score)`` by domain, from ``odds`` and ``f``."""
-    scores = F.array(*[
-        F.col("odds")[d] / F.lit(float(temperature)) + F.lit(priors[d])
-        + sum((F.get(_doubles(column), F.col("f")[k]) for k, column in enumerate(tables[d])), F.lit(0.0))
-        for d in range(len(priors))
-    ])
-    most = F.array_max(scores)
-    return F.transform(scores, lambda x: F.exp(x - most))
-
-
-def _posteriors(priors, tables, temperature) -> Column:
-    exps = _exps(priors, tables, temperature)
-    total = F.aggregate(exps, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(exps, lambda x: x / total)
-
-
 def train(docs: DataFrame, labelled: DataFrame, domains: list[str]):
-    """Log odds of buckets by domain, log priors, log likelihoods as ``tables[domain][feature][level]``,
-    and the temperature."""
+    """Lexicons, log priors, and log likelihoods as ``tables[domain][feature][level]``."""
     chosen = labelled.orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED)
-    known = stage(
-        features(docs.select("doc_id", "text").join(chosen, "doc_id")).withColumn(
-            "fit", F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(4)) != 0
-        ).select("domain", "fit", "b", "f"), "mixing-labelled",
-    )
+    known = stage(docs.select("doc_id", "text").join(chosen, "doc_id"), "mixing-labelled")
     counted = dict(known.groupBy("domain").count().collect())
+    held = known.select("domain", words(F.lower(F.col("text"))).alias("w"))
+    lexicons = [lexicon(held, d) for d in domains if d != WHOLE]
+    by_level = (
+        features(known, lexicons).select("domain", F.posexplode("f").alias("feature", "level"))
+        .groupBy("domain", "feature", "level").count().collect()
+    )  # domains x features x levels
+    levels = [MOST_HITS + 1] * len(lexicons) + [len(SYMBOL_LEVELS) + 1]
+    seen = {(r.domain, r.feature, r.level): r["count"] for r in by_level}
     total = sum(counted.get(d, 0) + 1 for d in domains)
     priors = [math.log((counted.get(d, 0) + 1) / total) for d in domains]
-    seen = {
-        (r.domain, r.feature, r.level): r["count"]
-        for r in known.select("domain", F.posexplode("f").alias("feature", "level"))
-        .groupBy("domain", "feature", "level").count().collect()
-    }  # domains x features x levels
-    levels = [len(SYMBOL_LEVELS) + 1, len(REPEAT_LEVELS) + 1]
     tables = [
         [
             [math.log((seen.get((d, k, v), 0) + 0.5) / (counted.get(d, 0) + 0.5 * n)) for v in range(n)]
@@ -153,26 +129,23 @@ def train(docs: DataFrame, labelled: DataFrame, domains: list[str]):
         ]
         for d in domains
     ]
-    cells = [[SMOOTH] * BUCKETS for _ in domains]
-    held = known.filter("fit").select("domain", F.explode("b").alias("bucket")).groupBy("domain", "bucket").count()
-    for r in held.collect():  # domains x BUCKETS at most
-        cells[domains.index(r.domain)][r.bucket] += r["count"]
-    sums = [sum(row) for row in cells]
-    logs = [[math.log(c / s) for c in row] for row, s in zip(cells, sums)]
-    mean = [sum(column) / len(domains) for column in zip(*logs)]
-    model = [[round(x - m, 6) for x, m in zip(row, mean)] for row in logs]
-    at = F.array_position(F.array(*map(F.lit, domains)), F.col("domain")).cast("int") - 1
-    likely = with_odds(known.filter("NOT fit"), model).agg(*[
-        F.sum(F.log(F.get(_posteriors(priors, tables, t), at) + F.lit(1e-12))).alias(f"t{t}") for t in TEMPERATURES
-    ]).first()
-    temperature = max(TEMPERATURES, key=lambda t: (likely[f"t{t}"] or 0.0, t))
-    return model, priors, tables, temperature
+    return lexicons, priors, tables
 
 
 def posteriors(docs: DataFrame, model) -> DataFrame:
     """``docs`` with ``n_tokens`` and ``p``, posteriors in the order of the domains."""
-    odds, *rest = model
-    return with_odds(features(docs), odds).withColumn("p", _posteriors(*rest)).drop("odds", "b", "f")
+    lexicons, priors, tables = model
+    rows = features(docs, lexicons)
+    scores = [
+        " + ".join([f"{prior!r}D"] + [
+            f"element_at(array({', '.join(f'{x!r}D' for x in column)}), f[{k}] + 1)"
+            for k, column in enumerate(table)
+        ])
+        for prior, table in zip(priors, tables)
+    ]
+    rows = rows.withColumn("e", F.expr(f"transform(array({', '.join(scores)}), x -> exp(x))"))
+    rows = rows.withColumn("all", F.expr("aggregate(e, 0D, (a, x) -> a + x)"))
+    return rows.withColumn("p", F.expr("transform(e, x -> x / all)")).drop("e", "all", "f")
 
 
 def _dot(weights: list[float]) -> str:

@@ -118,35 +118,32 @@ def test_rates_reach_the_least_squares_of_brute_force(spark, weights):
 
 
 def test_posteriors_by_brute_force(spark):
-    """Buckets, log odds and shares of a model counted in Python; tokens are words, not pieces."""
+    """Levels and tables of a model counted in Python; tokens are words, not pieces."""
     rows, known = planted(200)
     rows += [(1000, "  "), (1001, "a  b"), (1002, "a\tb c"), (1003, None), (1004, "#" * 9 + " x x x x")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     domains = ["good", "poor"]
     labelled = mixing.domain_labels(labels(spark, known))
-    model, priors, tables, temperature = mixing.train(docs, labelled, domains)
+    lexicons, priors, tables = mixing.train(docs, labelled, domains)
     domain = {r.doc_id: r.domain for r in labelled.collect()}
-    made = {r.doc_id: r for r in mixing.features(docs).collect()}
-    assert [made[k].n_tokens for k in range(1000, 1005)] == [0, 2, 3, 0, 5]
-    assert list(made[1004].f) == [3, 3] and list(made[1003].f) == [0, 0]
-    fit = {r.doc_id for r in docs.filter("pmod(xxhash64(doc_id, 'fit'), 4) != 0").collect()}
-    cells = {d: Counter(b for k in fit for b in made[k].b if domain.get(k) == d) for d in domains}
+    scored = {r.doc_id: r for r in mixing.posteriors(docs, (lexicons, priors, tables)).collect()}
+    assert [scored[k].n_tokens for k in range(1000, 1005)] == [0, 2, 3, 0, 5]
+    assert len(lexicons) == 1 and 0 < len(lexicons[0]) <= mixing.LEXICON
+    split = {k: re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower()) for k, t in rows}
+    levels = {
+        k: (min(mixing.MOST_HITS, len(set(split[k]) & set(lexicons[0]))),
+            sum(len(re.findall(r"[#*$%&|!<>]", t or "")) / max(1, len(t or "")) >= b for b in mixing.SYMBOL_LEVELS))
+        for k, t in rows
+    }
     for at, d in enumerate(domains):
-        logs = {
-            e: [math.log((cells[e][b] + mixing.SMOOTH) / (sum(cells[e].values()) + mixing.SMOOTH * mixing.BUCKETS))
-                for b in range(0, mixing.BUCKETS, 97)] for e in domains
-        }
-        mean = [sum(x) / 2 for x in zip(*logs.values())]
-        assert [model[at][b] for b in range(0, mixing.BUCKETS, 97)] == pytest.approx(
-            [x - m for x, m in zip(logs[d], mean)], abs=1e-5)
-    scored = {r.doc_id: r for r in mixing.posteriors(docs, (model, priors, tables, temperature)).collect()}
+        mine = [k for k, _ in rows if domain.get(k) == d]
+        for j, table in enumerate(tables[at]):
+            seen = Counter(levels[k][j] for k in mine)
+            assert table == pytest.approx(
+                [math.log((seen[v] + 0.5) / (len(mine) + 0.5 * len(table))) for v in range(len(table))])
     for k, r in scored.items():
-        score = [
-            sum(model[d][b] for b in made[k].b) / temperature + priors[d]
-            + sum(tables[d][j][v] for j, v in enumerate(made[k].f)) for d in (0, 1)
-        ]
-        total = sum(math.exp(x - max(score)) for x in score)
-        assert list(r.p) == pytest.approx([math.exp(x - max(score)) / total for x in score], abs=1e-6)
+        score = [math.exp(priors[d] + sum(tables[d][j][v] for j, v in enumerate(levels[k]))) for d in (0, 1)]
+        assert list(r.p) == pytest.approx([x / sum(score) for x in score], abs=1e-9)
 
 
 def test_missed_targets_are_reported(spark):
