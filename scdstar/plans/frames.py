@@ -68,10 +68,12 @@ def load_table(
     stage: Stage = unstaged,
     base: Column | None = None,
     watch: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    whole_table: bool = False,
 ) -> Merge:
     """Load one table's source rows; ``after`` holds the tables loaded so far in this batch.
 
-    ``watch`` may observe the rows as they are read. ``base`` is as in :func:`merge`.
+    ``watch`` may observe the rows as they are read. ``base`` and ``whole_table`` are as in
+    :func:`merge`.
     """
     return merge(
         spec,
@@ -85,4 +87,5 @@ def load_table(
         stage,
         lambda look: after.latest(look, stage),
         base,
+        whole_table,
     )

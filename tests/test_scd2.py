@@ -192,3 +192,22 @@ def test_close_keeps_start_and_insert_batch(spark):
     assert (closed.insert_id, closed.update_id, closed.source_id) == (1, 2, 1)
     assert str(closed.start_date) == DAY.format(1) and str(closed.end_date) == DAY.format(2)
     assert rows(lineage.lineage_counts(table.versions)) == [(1, 2, 1, 1), (2, None, 1, 1)]
+
+
+@pytest.mark.parametrize("options", [
+    LoadOptions(), LoadOptions(null_safe=True), LoadOptions(close_missing=True),
+    LoadOptions(null_safe=True, close_missing=True)])
+def test_one_join_gives_what_three_joins_give(spark, options):
+    """Kept, closed, changed and inserted rows, with and without ``whole_table``."""
+    table = Table()
+    table.load(customers(spark, (1, "a", "No"), (2, "b", None), (3, "c", "Yes"), (4, "d", "No"), (None, "n", "No")))
+    source = customers(spark, (1, "a", "No"), (2, "b", "Yes"), (3, "C", "Yes"), (5, "e", "No"), (None, "m", "No"))
+    found = [
+        merge(CUSTOMERS, source, table.current, None, nothing, 2, DAY.format(2), options, whole_table=whole)
+        for whole in (False, True)
+    ]
+    for part in ("changes", "kept", "closed", "inserted"):
+        separate, together = (getattr(done, part) for done in found)
+        assert rows(separate) == rows(together, *separate.columns), part
+    gone = 1 if options.close_missing else 0  # customer 4; the one without key stays
+    assert found[1].closed.count() == 1 + gone + options.null_safe
