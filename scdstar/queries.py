@@ -21,7 +21,7 @@ from scdstar.operators.scd2 import CLOSES, LoadOptions, detect_changes, project_
 from scdstar.plans import analytics, star as star_plan
 from scdstar.plans.frames import Warehouse, load_table
 from scdstar.plans.specs import REVIEWS, SPECS
-from scdstar.plans.star import KEYS, build_star, delete_expired, refresh_star
+from scdstar.plans.star import KEYS, STAR_SOURCES, build_star, delete_expired, refresh_star
 from scdstar.plans.two_batches import two_batches
 from scdstar.schemas import (
     OPERATIONAL, STAR_CONSTRAINTS, STAR_TABLES, WAREHOUSE_CONSTRAINTS, WAREHOUSE_TABLES, max_timestamp,
@@ -398,14 +398,20 @@ def star_insert_absent(spark: SparkSession, folder: str) -> DataFrame:
 def star_refresh(spark: SparkSession, folder: str) -> DataFrame:
     """Every row of the batch 1 star brought up to date."""
     loads = two_batches(spark, folder)
-    fresh = refresh_star(loads.star(1), loads.warehouse(2), since=2)
+
+    def keep(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        """Flights and customers are written, as other tables refer to them."""
+        referred = ("dim_flight", "dim_customer")
+        return {n: stage(df, n) if n in referred else df for n, df in tables.items()}
+
+    fresh = refresh_star(loads.star(1), loads.warehouse(2, *STAR_SOURCES), since=2, keep=keep)
     return rows_of((name, fresh[name]) for name in KEYS)
 
 
 @query
 def star_all_versions(spark: SparkSession, folder: str) -> DataFrame:
     """Every row of a star built over all versions."""
-    star = build_star(spark, two_batches(spark, folder).warehouse(2), mode="all")
+    star = build_star(spark, two_batches(spark, folder).warehouse(2, *STAR_SOURCES), mode="all")
     return rows_of((name, star[name]) for name in KEYS)
 
 

@@ -9,7 +9,7 @@ from scdstar.operators.lookup import Lookup, resolve
 from scdstar.operators.scd2 import LoadOptions, detect_changes, merge, project_source
 from scdstar.plans.specs import SPECS, waves
 from scdstar.plans.star import fact_booking, refresh_star
-from scdstar.plans.two_batches import two_batches
+from scdstar.plans.two_batches import TwoBatches, two_batches
 from scdstar.queries import QUERIES
 from scdstar.schemas import WAREHOUSE_TABLES
 
@@ -142,3 +142,38 @@ def test_a_hot_reference_is_split(spark, tmp_path):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_star_tables_load_what_they_depend_on(spark):
+    """An airplane is never closed here, so nothing that refers to airplanes is read."""
+    loads = TwoBatches(spark, SMALL)
+    assert loads.star()["dim_airplane"].count() == 200
+    assert set(loads.warehouse(2, "airplanes").current) == {"airplanes"}
+    loads.star(1)["dim_customer"].count()
+    assert set(loads.warehouse(1, "customers").current) == {"airplanes", "customers"}
+    assert loads.star()["dim_customer"].count() == 182  # retained by bookings and reviews
+    assert "flight_cabin_crew" not in loads.warehouse(2, "customers").current
+
+
+def test_versions_that_stay_are_not_joined_or_written_again(loads):
+    for name in ("flight_bookings", "airline_reviews"):
+        text = plan(loads.warehouse(2, name).current[name])
+        assert "Join" not in text and "Exchange" not in text
+        assert "_ends" in text
+
+
+@pytest.mark.parametrize("name", ["flight_bookings", "flight_cabin_crew"])
+def test_lines_are_dealt_once(spark, loads, name):
+    """The shuffle that groups lines serves the flight lookup and the comparison by id, too."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spec, before = SPECS[name], loads.warehouse(1, name).current[name]
+    flight = [look for look in spec.lookups if look.table == "flights"]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        first = plan(resolve(project_source(loads.source(name, 1), spec), flight,
+                             lambda table: loads.versions(table, 1)))
+        second = plan(detect_changes(before, project_source(loads.source(name, 2), spec), spec, LoadOptions()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    for text in (first, second):  # one for each side of the join
+        assert "SortMergeJoin" in text and text.count("Exchange hashpartitioning") == 2, text
