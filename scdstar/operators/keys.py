@@ -7,16 +7,44 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 KEY_BUCKETS = 1 << 20
+#: Column with the bucket of a natural key, in rows that are dealt by it.
+KEY_BUCKET = "_bucket"
 _HEX_DIGITS = 5  # 16 ** 5 == KEY_BUCKETS
 
 
+def key_bucket_sql(key: Sequence[str]) -> str:
+    """SQL for the bucket of a natural key, 0 .. KEY_BUCKETS-1, computed from its content alone."""
+    text = ", ".join(f"CAST({c} AS STRING)" for c in key)
+    return f"CAST(conv(substring(md5(concat_ws('|', {text})), 1, {_HEX_DIGITS}), 16, 10) AS BIGINT)"
+
+
 def key_bucket(key: Sequence[str]) -> Column:
-    """Bucket of a natural key, 0 .. KEY_BUCKETS-1, computed from its content alone."""
-    text = F.concat_ws("|", *[F.col(c).cast("string") for c in key])
-    return F.conv(F.substring(F.md5(text), 1, _HEX_DIGITS), 16, 10).cast("long")
+    """Bucket of a natural key."""
+    return F.expr(key_bucket_sql(key))
+
+
+def deal(df: DataFrame, key: Sequence[str], buckets: int) -> DataFrame:
+    """Rows with the bucket of their key, shuffled by it into ``buckets`` partitions, unless they are
+    already. The column's metadata tell the number of partitions. It is computed again after the shuffle
+    rather than sent along."""
+    if KEY_BUCKET in df.columns:
+        if dealt_into(df) == buckets:
+            return df
+        df = df.drop(KEY_BUCKET)
+    bucket = key_bucket(key)
+    return df.repartition(buckets, bucket).select(
+        "*", bucket.alias(KEY_BUCKET, metadata={"buckets": buckets})
+    )
 
 
-def assign_keys(df: DataFrame, sk: str, key: Sequence[str], base: Column) -> DataFrame:
+def dealt_into(df: DataFrame) -> int | None:
+    """The number of partitions that rows, or the files they come from, are dealt into by key bucket."""
+    return df.schema[KEY_BUCKET].metadata.get("buckets") if KEY_BUCKET in df.columns else None
+
+
+def assign_keys(
+    df: DataFrame, sk: str, key: Sequence[str], base: Column, buckets: int | None = None
+) -> DataFrame:
     """Add surrogate keys greater than ``base`` to rows with distinct natural keys.
 
     Rows are hashed into buckets; the n-th row of bucket b (in natural-key order)
@@ -24,13 +52,12 @@ def assign_keys(df: DataFrame, sk: str, key: Sequence[str], base: Column) -> Dat
     reused, with small gaps as in any database sequence. They depend only on the
     rows, so a recomputed task assigns the same ones. The cost is one shuffle
     into even buckets: no counting pass, no global sort, no single-task window.
+    With ``buckets`` rows keep that deal, in as many partitions, and the column ``_bucket``.
     """
-    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(*key)).cast("long")
-    return (
-        df.withColumn("_bucket", key_bucket(key))
-        .withColumn(sk, base + (rank - 1) * F.lit(KEY_BUCKETS) + F.col("_bucket") + 1)
-        .drop("_bucket")
-    )
+    rank = F.row_number().over(Window.partitionBy(KEY_BUCKET).orderBy(*key)).cast("long")
+    dealt = deal(df, key, buckets) if buckets else df.withColumn(KEY_BUCKET, key_bucket(key))
+    keyed = dealt.withColumn(sk, base + (rank - 1) * F.lit(KEY_BUCKETS) + F.col(KEY_BUCKET) + 1)
+    return keyed if buckets else keyed.drop(KEY_BUCKET)
 
 
 def highest_key(versions: DataFrame | None, sk: str) -> Column:

@@ -10,13 +10,15 @@ at once. One writer at a time may load, see :mod:`scdstar.sources.lease`.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Collection, Mapping
+from collections.abc import Collection, Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 from functools import partial as bound
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from scdstar.operators.audit import constraint_violations
+from scdstar.operators.keys import KEY_BUCKET
 from scdstar.operators.scd2 import CLOSES, LoadOptions, TableSpec
 from scdstar.plans.frames import Warehouse, load_table
 from scdstar.plans.specs import REVIEWS, SPECS, waves
@@ -224,9 +226,10 @@ class Pipeline:
                 self._check_time(load_ts)
                 self._drop_uncommitted(batch_id, previous)
             catalog.begin_staging(self.spark, self.names.staging, self.root)
-            report, deltas = self._load_warehouse(
-                batch_id, sources, reviews, load_ts, state, partial
-            )
+            with self._joined_by_bucket():
+                report, deltas = self._load_warehouse(
+                    batch_id, sources, reviews, load_ts, state, partial
+                )
             if initial:
                 self._build_star(batch_id, state)
             elif any(d.n_fresh or d.n_closed for d in deltas.values()):
@@ -291,25 +294,37 @@ class Pipeline:
 
     # -- where rows are --------------------------------------------------------
 
-    def _parts(self, namespace: str, table: str, key: tuple[str, ...] = ()) -> Parts:
-        buckets = self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        return Parts(self.spark, namespace, table, key, buckets)
+    @property
+    def n_buckets(self) -> int:
+        """The number of files of the oldest part of a warehouse table."""
+        return self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def _open_select(self, namespace: str, name: str, stored: Stored, batch_id: int) -> str:
-        """SQL for the rows of a table: of a warehouse table, the current versions."""
-        parts = self._parts(namespace, name)
+    def _parts(self, namespace: str, table: str, key: tuple[str, ...] = ()) -> Parts:
+        # Sources with copies of a key are grouped by it, and need no shuffle for their buckets.
+        by_bucket = bool(key) and SPECS[table].unique_source
+        return Parts(self.spark, namespace, table, key, self.n_buckets, by_bucket)
+
+    def _open_select(
+        self, namespace: str, name: str, stored: Stored, batch_id: int, dealt: bool = False
+    ) -> str:
+        """SQL for the rows of a table: of a warehouse table, the current versions, with
+        their key bucket if they are ``dealt``."""
+        parts = self._parts(namespace, name, SPECS[name].key if name in SPECS else ())
         listed = [(b, parts.name(b)) for b, _ in stored.parts]
         closed = f"update_id > {stored.since} AND update_id <= {batch_id}"
         removed = None
         if namespace == self.names.warehouse:
             spec, columns = SPECS[name], WAREHOUSE_TABLES[name].names
+            buckets = parts.dealt_into(stored.version) if len(listed) == 1 and listed[0][0] else None
+            if dealt and buckets:
+                columns = [*columns, KEY_BUCKET]
             if stored.removed:
                 key = ", ".join(spec.key)
                 removed = (
                     f"SELECT {key}, max({spec.sk}) AS gone FROM {namespace}.{name}__history"
                     f" WHERE {closed} GROUP BY {key}"
                 )
-            return open_select(columns, [p for _, p in listed], removed, spec.key, spec.sk)
+            return open_select(columns, [p for _, p in listed], removed, spec.key, spec.sk, buckets)
         columns = STAR_TABLES[name].names
         if name in FACT_SOURCES:
             if stored.removed:
@@ -322,8 +337,10 @@ class Pipeline:
             removed = f"SELECT gone, update_id FROM {namespace}.{name}__gone WHERE {closed}"
         return numbered_open_select(columns, listed, removed, KEYS.get(name, ""))
 
-    def _open(self, namespace: str, name: str, stored: Stored, batch_id: int) -> DataFrame:
-        return self.spark.sql(self._open_select(namespace, name, stored, batch_id))
+    def _open(
+        self, namespace: str, name: str, stored: Stored, batch_id: int, dealt: bool = False
+    ) -> DataFrame:
+        return self.spark.sql(self._open_select(namespace, name, stored, batch_id, dealt))
 
     def _history(self, name: str, batch_id: int, since: int = 0) -> DataFrame:
         return catalog.read_history(
@@ -353,7 +370,8 @@ class Pipeline:
         # The oldest part is bucketed, and by far the largest.
         cuts = (stored.parts[:1], stored.parts[1:])
         warehouse.pieces[name] = [
-            self._open(namespace, name, replace(stored, parts=cut), batch_id) for cut in cuts if cut
+            self._open(namespace, name, replace(stored, parts=cut), batch_id, dealt=cut is cuts[0])
+            for cut in cuts if cut
         ]
         keys = state.get((namespace, f"{name}__latest"))
         if keys:
@@ -375,6 +393,18 @@ class Pipeline:
 
     # -- warehouse -------------------------------------------------------------
 
+    @contextmanager
+    def _joined_by_bucket(self) -> Iterator[None]:
+        """Joins by key bucket and key need no other shuffle than one by bucket. Spark would shuffle
+        by all columns for fear of skew, but buckets are even."""
+        name = "spark.sql.requireAllClusterKeysForCoPartition"
+        before = self.spark.conf.get(name, None)
+        self.spark.conf.set(name, "false")
+        try:
+            yield
+        finally:
+            self.spark.conf.unset(name) if before is None else self.spark.conf.set(name, before)
+
     def _load_warehouse(
         self,
         batch_id: int,
@@ -401,10 +431,13 @@ class Pipeline:
             whole = self.options.close_missing and name not in partial
             options = replace(self.options, close_missing=whole)
             base = F.lit(stored.top if stored else 0).cast("long")
+            # First versions are written as the shuffle that made their keys has dealt them.
+            buckets = parts.buckets if stored is None and parts.by_bucket else None
             done = load_table(
-                spec, given[name], before, after, batch_id, load_ts, options, self._stage, base
+                spec, given[name], before, after, batch_id, load_ts, options, self._stage, base,
+                buckets=buckets,
             )
-            inserted = done.inserted.select(*schema.names)
+            inserted = done.inserted.select(*schema.names, *([KEY_BUCKET] if buckets else []))
             n_closed = n_inserted = top = 0
             if stored is None:
                 found = parts.first(inserted, batch_id)

@@ -69,10 +69,11 @@ def load_table(
     base: Column | None = None,
     watch: Callable[[DataFrame], DataFrame] = lambda rows: rows,
     whole_table: bool = False,
+    buckets: int | None = None,
 ) -> Merge:
     """Load one table's source rows; ``after`` holds the tables loaded so far in this batch.
 
-    ``watch`` may observe the rows as they are read. ``base`` and ``whole_table`` are as in
+    ``watch`` may observe the rows as they are read. ``base``, ``whole_table`` and ``buckets`` are as in
     :func:`merge`.
     """
     return merge(
@@ -88,4 +89,5 @@ def load_table(
         lambda look: after.latest(look, stage),
         base,
         whole_table,
+        buckets,
     )

@@ -6,8 +6,9 @@ removed keys says so: reading is *parts minus removed*. A part takes newer ones
 as they are not much smaller together, so there are few parts and a row is rewritten a
 logarithmic number of times; when much of a table is removed it is written anew as one part.
 
-The oldest part of a warehouse table holds most of its rows and is bucketed by natural key, so that
-change detection joins it without shuffling it. A key has one open version at most and
+The oldest part of a warehouse table holds most of its rows and is bucketed by natural key, or by the
+bucket its surrogate key was made of, so that change detection joins it without shuffling it.
+In the second case the shuffle that makes surrogate keys also serves the buckets. A key has one open version at most and
 versions get growing surrogate keys, so a row is removed if its natural key has a removed
 version with the same or a greater surrogate key: one equality, by the columns of the bucketing.
 """
@@ -21,6 +22,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from scdstar.operators.keys import KEY_BUCKET, deal, dealt_into, key_bucket_sql
+
 #: A part is merged with what came after it once that is over a FACTOR-th of its rows.
 FACTOR = 4
 #: A table is written anew once a WASTE-th of the rows in its parts are removed ones.
@@ -76,12 +79,18 @@ class Parts:
     #: Natural key that the oldest part is bucketed by, if it is.
     key: tuple[str, ...] = ()
     buckets: int = 0
+    #: Whether the oldest part is bucketed by the bucket of the natural key.
+    by_bucket: bool = False
 
     def name(self, batch_id: int) -> str:
         return f"{self.namespace}.{self.table}__v{batch_id}"
 
     def read(self, batch_id: int) -> DataFrame:
-        return self.spark.table(self.name(batch_id))
+        return self.spark.table(self.name(batch_id)).drop(KEY_BUCKET)
+
+    def dealt_into(self, batch_id: int) -> int | None:
+        """The number of files a part is dealt into by key bucket, if it is."""
+        return dealt_into(self.spark.table(self.name(batch_id))) if self.by_bucket else None
 
     def rows(self, stored: Stored) -> DataFrame:
         return reduce(DataFrame.unionByName, [self.read(b) for b, _ in stored.parts])
@@ -89,7 +98,12 @@ class Parts:
     def write(self, rows: DataFrame, batch_id: int, oldest: bool) -> int:
         """Write one part and return its number of rows, which its files tell."""
         writer = rows.write
-        if oldest and self.key and self.buckets:
+        if oldest and self.key and self.buckets and self.by_bucket:
+            writer = (
+                deal(rows, self.key, self.buckets).write
+                .bucketBy(self.buckets, KEY_BUCKET).sortBy(*self.key)
+            )
+        elif oldest and self.key and self.buckets:
             writer = (
                 rows.repartition(self.buckets, *self.key).write
                 .bucketBy(self.buckets, *self.key).sortBy(*self.key)
@@ -147,17 +161,27 @@ def open_select(
     removed: str | None = None,
     key: Sequence[str] = (),
     sk: str | None = None,
+    buckets: int | None = None,
 ) -> str:
     """SQL for the rows of ``parts`` without removed ones.
 
     ``removed`` selects, for a warehouse table, the natural ``key`` and the surrogate key
     ``gone`` of its last removed version; for other tables, the removed surrogate keys ``gone``.
+    ``buckets`` tells that the parts are dealt into so many files by key bucket. Removed keys
+    are then dealt alike, so that the parts are not shuffled.
     """
     listed = ", ".join(columns)
-    rows = " UNION ALL ".join(f"SELECT {listed} FROM {part}" for part in parts)
+    read = ", ".join({**dict.fromkeys(columns), **({KEY_BUCKET: None} if buckets and removed else {})})
+    rows = " UNION ALL ".join(f"SELECT {read} FROM {part}" for part in parts)
     if removed is None:
         return rows
-    if key:
+    if buckets:
+        removed = (
+            f"SELECT /*+ REPARTITION({buckets}, {KEY_BUCKET}) */ *, {key_bucket_sql(key)} AS {KEY_BUCKET}"
+            f" FROM ({removed})"
+        )
+        same = " AND ".join(f"p.{c} = g.{c}" for c in (KEY_BUCKET, *key)) + f" AND p.{sk} <= g.gone"
+    elif key:
         same = " AND ".join(f"p.{c} = g.{c}" for c in key) + f" AND p.{sk} <= g.gone"
     else:
         same = f"p.{sk} = g.gone"

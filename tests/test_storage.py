@@ -7,11 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from scdstar.operators import audit, lineage
+from scdstar.operators.keys import KEY_BUCKET, assign_keys, deal
 from scdstar.operators.scd2 import LoadOptions, detect_changes, project_source
 from scdstar.plans.batch import Namespaces, Pipeline
 from scdstar.plans.specs import SPECS
 from scdstar.plans.star import build_star
-from scdstar.plans.storage import FACTOR, Parts, Stored, newest_of
+from scdstar.plans.storage import FACTOR, Parts, Stored, newest_of, open_select
 from scdstar.schemas import (
     OPERATIONAL, STAGED_REVIEWS, STAR_CONSTRAINTS, STAR_TABLES, WAREHOUSE_CONSTRAINTS,
     WAREHOUSE_TABLES,
@@ -358,3 +359,47 @@ def test_constraints_of_warehouse_and_star_are_declared_and_checked(spark, loade
     assert found.collect() == []
     text = plan(found)
     assert len(re.findall(r"Exchange hashpartitioning\(space", text)) == 2  # by value, then by check
+
+
+def test_one_shuffle_makes_keys_and_buckets(spark):
+    """First versions are written as they were dealt for their surrogate keys; change detection and
+    removals join that part by bucket and key without shuffling it."""
+    catalog.wipe_namespace(spark, "dealt")
+    catalog.create_namespace(spark, "dealt")
+    spec, columns = SPECS["customers"], WAREHOUSE_TABLES["customers"].names
+    source = spark.range(0, 3000).selectExpr(
+        "id", "concat('n', id) AS full_name", "CASE WHEN id % 9 = 0 THEN 'new' ELSE 'e' END"
+        " AS email", "'No' AS frequent_flyer")
+    base = F.lit(0).cast("long")
+
+    def keyed(buckets):
+        rows = project_source(source.where("id < 2500"), spec).withColumn("email", F.lit("e"))
+        return lineage.stamp_inserted(
+            assign_keys(rows, spec.sk, spec.key, base, buckets), 1, 1, LOAD_TS[1])
+
+    first = keyed(8).select(*columns, KEY_BUCKET)
+    assert len(re.findall("Exchange hashpartitioning", plan(first))) == 1
+    assert deal(first, spec.key, 8) is first
+    parts = Parts(spark, "dealt", "customers", spec.key, 8, by_bucket=True)
+    assert parts.first(first, 1).parts == ((1, 2500),) and parts.dealt_into(1) == 8
+    assert rows(parts.read(1)) == rows(keyed(None).select(*columns))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.requireAllClusterKeysForCoPartition": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    gone = "SELECT customer_id, customer_sk AS gone FROM dealt.customers__v1 WHERE customer_id < 10"
+    opened = [spark.sql(open_select([*columns, *more], [parts.name(1)], gone, spec.key, spec.sk, n))
+              for more, n in (([KEY_BUCKET], 8), ([], None))]
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        dealt, plain = [
+            detect_changes(piece, project_source(source, spec), spec, LoadOptions()) for piece in opened]
+        # The source and the removed keys are shuffled; of the others, the part is, too.
+        assert len(re.findall("Exchange hashpartitioning", plan(dealt))) == 2
+        assert "_bucket" not in dealt.columns and rows(dealt) == rows(plain)
+        changed = sum(k % 9 == 0 for k in range(10, 2500))
+        assert dealt.count() == 500 + 10 + changed  # added, removed, changed
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    catalog.wipe_namespace(spark, "dealt")
