@@ -1,10 +1,14 @@
 """Token ids of whole texts with the tokenizers library, a word encoded once per worker.
 
-A byte-level tokenizer splits text before it merges, and a single space between two
-visible characters always starts a new piece. So a text's ids are those of its
-space-separated units, one after another; units come from a bounded cache, and what is
-missing is encoded by the library many units at a time. Texts with any other space or
-with the string of an added token, and tokenizers of any other kind, go to the library whole.
+A byte-level tokenizer splits text into pieces before it merges: words, numbers and runs of marks with
+the space before them, and other white space. A text's ids are those of its pieces, one after
+another; they come from a bounded cache, and what is missing is merged by the library's model. That
+holds for texts of characters on whose kind all versions of Unicode agree, see ``PIECES``.
+
+In other texts, a single space between two visible characters still starts a new piece. Their ids
+are those of space-separated units, of which the missing are encoded by the library many
+at a time. Texts with any other space or with the string of an added token, and tokenizers of any
+other kind, go to the library whole.
 The ids are the library's either way, with its own defaults: such a string in a text becomes
 the added token. Tests hold them against whole texts that the library alone encodes.
 """
@@ -13,12 +17,20 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from functools import cache
 
 import numpy as np
 
-#: Units that a worker keeps, and half the words without marks; beyond that it starts anew.
+#: Units that a worker keeps, as many words without marks, and twice as many pieces; beyond that it starts anew.
 KEPT = 600_000
+LETTERS, NUMBERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
+OTHERS = r"!-/:-@\[-`{-~¡-©«-±´¶-¸»¿×÷"
+#: The pieces of a byte-level tokenizer, in texts without an unknown character.
+PIECES = re.compile(
+    rf" ?[{LETTERS}]+|'(?:s|t|re|ve|m|ll|d)| ?[{NUMBERS}]+| ?[{OTHERS}]+|[ \t\n\r]+(?![^ \t\n\r])|[ \t\n\r]+"
+)
+UNKNOWN = re.compile(rf"[^{LETTERS}{NUMBERS}{OTHERS} \t\n\r]")
 #: Trailing marks that form a piece of their own after a letter or digit.
 MARKS = ".,;:!?*#$%&|"
 
@@ -28,6 +40,30 @@ def _visible(c: str) -> bool:
     return "!" <= c <= "~" or "À" <= c <= "ɏ"
 
 
+def _byte_characters() -> list[str]:
+    """The character that stands for each byte: itself if it is visible, or else one beyond U+00FF."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = iter(range(0x100, 0x200))
+    return [chr(b if b in shown else next(others)) for b in range(256)]
+
+
+class Pieces(dict[str, bytes]):
+    """The ids of pieces, merged by the model of a tokenizer when they are first asked for."""
+
+    def __init__(self, model, raw: list[bytes]) -> None:
+        byte = _byte_characters()
+        self.model, self.raw = model, raw
+        self.written = {k: "".join(byte[b] for b in chr(k).encode()) for k in range(0x250)}
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= 2 * KEPT:
+            self.clear()
+        raw = self.raw
+        ids = b"".join([raw[t.id] for t in self.model.tokenize(piece.translate(self.written))])
+        self[piece] = ids
+        return ids
+
+
 class Encoder:
     def __init__(self, definition: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for each core
@@ -52,6 +88,9 @@ class Encoder:
             self.width[k] = len(token)
         for token in added:
             self.width[token["id"]] = len(token["content"].encode())
+        self.pieces = Pieces(
+            self.library.model, [k.tobytes() for k in np.arange(len(self.width), dtype=self.dtype)]
+        )
         self.units: dict[str, bytes] = {}
         self.cores: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {}
@@ -65,7 +104,7 @@ class Encoder:
         space at an end are left out. All ``wanted`` units are there afterwards."""
         if len(self.units) + len(missing) > KEPT:
             self.units = {u: self.units[u] for u in wanted if u in self.units}
-        if len(self.cores) > 2 * KEPT:
+        if len(self.cores) > KEPT:
             self.cores.clear()
         cores, split, asked = self.cores, [], set()
         for unit in missing:
@@ -107,8 +146,20 @@ class Encoder:
         if not self.byte_level:
             return [np.frombuffer(self._whole(t), self.dtype) if t else np.empty(0, self.dtype)
                     for t in texts]
-        added = [t and any(a in t for a in self.added) for t in texts]
-        split = [t.split(" ") if t else [""] for t in texts]
+        added = [bool(t) and any(a in t for a in self.added) for t in texts]
+        known = [not (marked or t and UNKNOWN.search(t)) for t, marked in zip(texts, added)]
+        ids, pieces = self.pieces.__getitem__, PIECES.findall
+        found = iter(self._by_units(
+            [t for t, k in zip(texts, known) if not k], [a for a, k in zip(added, known) if not k]
+        ))
+        return [
+            np.frombuffer(b"".join(map(ids, pieces(t or ""))), self.dtype) if k else next(found)
+            for t, k in zip(texts, known)
+        ]
+
+    def _by_units(self, texts: list[str], added: list[bool]) -> list[np.ndarray]:
+        """The ids of texts with unknown characters or with the string of an added token."""
+        split = [t.split(" ") for t in texts]
         seen: set[str] = set()
         for units, marked in zip(split, added):
             if not marked:

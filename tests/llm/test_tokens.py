@@ -31,6 +31,20 @@ def test_cached_units_encode_as_whole_texts(texts):
         assert [x.tolist() for x in encode.encode(texts)] == [whole(path, t) for t in texts]
 
 
+def test_words_at_line_breaks_are_encoded_once(monkeypatch):
+    encode = Encoder(open(BYTES, encoding="utf-8").read())
+    encode.encode(["one.\nTwo, one"])
+    text, asked = "one, one.\nTwo.\nTwo, one", []
+    monkeypatch.setattr(encode, "_whole", asked.append)
+    assert encode.encode([text])[0].tolist() == whole(BYTES, text) and not asked
+
+
+def test_every_low_character_starts_and_ends_pieces_as_in_whole_texts():
+    texts = [t.replace("x", chr(k)) for k in range(0x260) for t in ("x", "axb", "a x1xx x", "'sx 'x'llx", "x  x\n\nx \n")]
+    found = ENCODERS[BYTES].encode(texts)
+    assert [x.tolist() for x in found] == [whole(BYTES, t) for t in texts]
+
+
 def test_a_small_cache_starts_anew_without_harm(monkeypatch):
     monkeypatch.setattr("scdstar.llm.encoder.KEPT", 5)
     encode = Encoder(open(BYTES, encoding="utf-8").read())
