@@ -150,9 +150,9 @@ def review_raw_csv(spark: SparkSession, folder: str) -> DataFrame:
     cleansed = cleanse_reviews(named).withColumns(
         {"seat_class": F.col("seat_type"), "date_published": F.col("source_date").cast("timestamp_ntz")}
     )
-    loads = two_batches(spark, folder)
+    referred = two_batches(spark, folder).warehouse(1, *[look.table for look in REVIEWS.lookups])
     done = load_table(
-        REVIEWS, staged_reviews(cleansed), Warehouse(), loads.warehouse(1, REVIEWS.name).copy(), 1,
+        REVIEWS, staged_reviews(cleansed), Warehouse(), referred.copy(), 1,
         LOAD_TS[1], stage=stage,
     )
     found = done.inserted.select(*WAREHOUSE_TABLES[REVIEWS.name].names)

@@ -177,3 +177,10 @@ def test_lines_are_dealt_once(spark, loads, name):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     for text in (first, second):  # one for each side of the join
         assert "SortMergeJoin" in text and text.count("Exchange hashpartitioning") == 2, text
+
+
+def test_raw_reviews_load_only_tables_they_refer_to(spark, monkeypatch):
+    monkeypatch.setattr("scdstar.plans.two_batches._SESSIONS", {})
+    QUERIES["review_raw_csv"](spark, SMALL)
+    loaded = two_batches(spark, SMALL)._loaded[1].current
+    assert {"flights", "customers"} <= set(loaded) and "airline_reviews" not in loaded
