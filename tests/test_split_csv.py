@@ -8,7 +8,9 @@ from pyspark.sql import types as T
 
 from scdstar.schemas import RAW_REVIEWS, STAGED_REVIEWS
 from scdstar.sources import split_csv
-from scdstar.sources.reviews import read_raw_reviews, read_staged_reviews, write_reviews
+from scdstar.sources.reviews import (
+    cleanse_reviews, read_raw_reviews, read_staged_reviews, write_raw_reviews, write_reviews,
+)
 
 from conftest import rows
 
@@ -99,3 +101,11 @@ def test_review_readers(spark, tmp_path, small_ranges):
     assert rows(found) == rows(read_staged_reviews(spark, str(staged))) and found.count() == 80
     write_reviews(found, str(tmp_path / "out"))
     assert read_staged_reviews(spark, str(tmp_path / "out"), split=True).count() == 80
+
+
+def test_conditions_on_cells_parse_no_record_again(spark, tmp_path):
+    row = ", ".join(f"'2024-01-02' AS {c}" for c in RAW_REVIEWS.names)
+    write_raw_reviews(spark.sql(f"SELECT {row}"), f"{tmp_path}/raw")
+    found = cleanse_reviews(read_raw_reviews(spark, f"{tmp_path}/raw", split=True))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("from_csv") == 1
+    assert found.count() == 1
