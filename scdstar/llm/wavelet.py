@@ -53,9 +53,10 @@ class WaveletMatrix:
         """The least end from ``low`` on before which ``symbols`` stand ``times`` times, by
         bisection on ranks; ``high`` where they do so at no lower end."""
         low, high = low.copy(), high.copy()
-        while (low < high).any():
-            middle = (low + high) >> 1
-            enough = self.ranks(symbols, middle) >= times
-            high = np.where(enough, middle, high)
-            low = np.where(enough, low, np.minimum(middle + 1, high))
+        # Rows that are found are ranked no more, as ``high`` may be one beyond the symbols.
+        while (rows := np.flatnonzero(low < high)).size:
+            middle = (low[rows] + high[rows]) >> 1
+            enough = self.ranks(symbols, middle) >= times[rows]
+            high[rows] = np.where(enough, middle, high[rows])
+            low[rows] = np.where(enough, low[rows], middle + 1)
         return low

@@ -43,6 +43,17 @@ def test_cuts_are_those_of_listed_units(rows):
         assert (n, prefix, end) == (len(units), len("".join(units[:a])), len("".join(units[:b])))
 
 
+def test_last_text_that_is_cut_at_its_end():
+    # 63 characters in all: a place one beyond them lies in a word that a bit vector of 63 does not have.
+    for size in range(60, 68):
+        texts = ["a b " * ((size - 3) // 4) + "c" * ((size - 3) % 4), "d e"]
+        assert sum(map(len, texts)) == size
+        found = infill.cuts(texts, np.array([3, 1]), np.array([5, 2])).T.tolist()
+        for text, a, b, row in zip(texts, (3, 1), (5, 2), found):
+            units = UNIT.findall(text)
+            assert row == [len(units), len("".join(units[:a])), len("".join(units[:b]))]
+
+
 def test_groups_hold_every_text_once():
     texts = ["a" * k for k in (0, 3, 9, 1, 1, 0, 30, 2)]
     parts = list(infill.groups(texts, 10))
